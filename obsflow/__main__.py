@@ -31,7 +31,7 @@ def _arguments() -> argparse.Namespace:
 
     observations = job.add_parser("observations", help="silver observations")
     observations.add_argument("--dsn", help="read the raw table from this database")
-    observations.add_argument("--source-table", default="public.mast")
+    observations.add_argument("--source-table", default="public.observations")
     observations.add_argument("--split-column")
     observations.add_argument("--split-range", type=int, nargs=2, default=(0, 0))
     observations.add_argument("--split-count", type=int, default=1)

@@ -14,16 +14,15 @@ _ENDPOINT_FOLDER = r"([^/]+)/[^/]+$"
 
 def read_payloads(spark: SparkSession, landing: str) -> DataFrame:
     """Landed payload files as ``endpoint, value``."""
-    files = spark.read.option("wholetext", True).text(f"{landing}/*/*")
+    files = spark.read.text(f"{landing}/*/*", wholetext=True)
     return with_endpoint(files)
 
 
 def stream_payloads(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
     """The same as a stream of newly landed files."""
     files = (
-        spark.readStream.option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .text(f"{landing}/*/*")
+        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+        .text(f"{landing}/*/*", wholetext=True)
     )
     return with_endpoint(files)
 
@@ -44,9 +43,10 @@ def payload_events(payloads: DataFrame, ingested_at: Column) -> DataFrame:
         "endpoint", F.explode(F.from_json("value", "array<string>")).alias("record")
     )
     time_text = F.lit(None).cast("string")
-    for endpoint, key in FEED_TIME_KEYS.items():
+    for key in sorted(set(FEED_TIME_KEYS.values())):
+        feeds = [endpoint for endpoint, k in FEED_TIME_KEYS.items() if k == key]
         found = F.get_json_object("record", f"$.{key}")
-        time_text = F.when(F.col("endpoint") == endpoint, found).otherwise(time_text)
+        time_text = F.when(F.col("endpoint").isin(*feeds), found).otherwise(time_text)
     return elements.select(
         "endpoint",
         parse_iso(time_text).alias("event_time"),

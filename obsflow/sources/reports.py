@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,9 @@ def read_reports(spark: SparkSession, folder: str, first_year: int, last_year: i
     return lines.filter(F.col("year").between(first_year, last_year))
 
 
-def parse_reports(lines: DataFrame) -> DataFrame:
+def parse_reports(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Data lines with their parsed fields, ``fields`` null where rejected."""
-    stripped = lines.select("year", strip_line(F.col("line")).alias("line"))
+    stripped = lines.select(*keep, "year", strip_line(F.col("line")).alias("line"))
     return stripped.filter(is_report_data(F.col("line"))).withColumn(
         "fields", report_fields(F.col("line"), F.col("year"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from obsflow.plans.jobs import (
@@ -14,22 +14,21 @@ from obsflow.plans.jobs import (
     refresh_gold,
     run_time,
 )
-from obsflow.sources.feeds import payload_events, stream_payloads
+from obsflow.sources.feeds import payload_events
 
 
 def start_bronze(
-    spark: SparkSession,
+    payloads: DataFrame,
     layout: Layout,
-    landing: str,
     checkpoint: str,
     trigger: dict | None = None,
     after_batch: Callable[[int], object] | None = None,
 ) -> StreamingQuery:
-    """Merge every batch of new payload files into bronze.
+    """Merge every batch of a payload stream into bronze.
 
     A batch that is run again after a failure rewrites the same keys, so it
-    adds no row (T5). Without a trigger the files at hand are taken in and the
-    query ends.
+    adds no row (T5). Without a trigger the payloads at hand are taken in and
+    the query ends.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -38,8 +37,7 @@ def start_bronze(
             after_batch(batch_id)
 
     return (
-        stream_payloads(spark, landing)
-        .writeStream.foreachBatch(upsert)
+        payloads.writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -47,14 +45,14 @@ def start_bronze(
 
 
 def start_refresh(
-    spark: SparkSession,
+    payloads: DataFrame,
     layout: Layout,
-    landing: str,
     checkpoint: str,
     trigger: dict | None = None,
     after_gold: Callable[[str], object] | None = None,
 ) -> StreamingQuery:
     """As T1, and after every batch silver flares and contaminated observations anew."""
+    spark = payloads.sparkSession
 
     def rebuild(_: int) -> None:
         refresh_flares(spark, layout)
@@ -62,4 +60,4 @@ def start_refresh(
         if after_gold:
             after_gold("contaminated_obs")
 
-    return start_bronze(spark, layout, landing, checkpoint, trigger, rebuild)
+    return start_bronze(payloads, layout, checkpoint, trigger, rebuild)
