@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _CLOCK = r"\A[0-9]{4}\z"
+_MINUTE = 60_000_000
+_DAY = 24 * 60 * _MINUTE
 _DATE_FIRST = r"\A\s*[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
@@ -20,17 +22,16 @@ def event_start(begin_text: Column, fallback: Column) -> Column:
 
 
 def clock_after(text: Column, start: Column) -> Column:
-    """Four digits are a clock time on or after ``start``, other text is ISO.
+    """Four digits are a clock time, other text is ISO.
 
-    A clock time earlier than ``start`` belongs to the next day.
+    A clock time means its first occurrence at or after ``start``, in UTC: on
+    the same day, or on the next one if it lies before the start.
     """
     hour = F.substring(text, 1, 2).try_cast("int")
     minute = F.substring(text, 3, 2).try_cast("int")
-    same_day = F.date_trunc("day", start) + F.make_dt_interval(
-        F.lit(0), hour, minute, F.lit(0)
-    )
-    rolled = F.when(same_day < start, same_day + F.expr("INTERVAL 1 DAY")).otherwise(same_day)
-    return (
-        F.when(~text.rlike(_CLOCK), parse_iso(text))
-        .when((hour < 24) & (minute < 60), rolled)
+    clock = (hour * 60 + minute).cast("bigint") * _MINUTE
+    begin = F.unix_micros(start)
+    occurrence = F.timestamp_micros(begin + F.pmod(clock - begin, F.lit(_DAY)))
+    return F.when(text.rlike(_CLOCK), F.when((hour < 24) & (minute < 60), occurrence)).otherwise(
+        parse_iso(text)
     )

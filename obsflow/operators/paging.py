@@ -76,20 +76,24 @@ def gold_page(
     return page_of(_filtered(gold, name, first, last), _ordered(name), page)
 
 
+def _json_value(name: str, kind: str) -> Column:
+    col = F.col(name)
+    if kind == "decimal":
+        return col.cast("double").alias(name)
+    if kind in ("timestamp", "timestamp_ntz"):
+        # The fraction appears only where there is one, then with six digits.
+        whole = F.date_trunc("second", col) == col
+        seconds = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+        micros = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        return F.when(whole, seconds).otherwise(micros).alias(name)
+    return col
+
+
 def json_rows(rows: DataFrame) -> DataFrame:
     """K6: one JSON text per row; times in ISO form, decimals as numbers, nulls kept."""
-    columns = [
-        F.col(f.name).cast("double").alias(f.name)
-        if f.dataType.typeName() == "decimal"
-        else F.col(f.name)
-        for f in rows.schema.fields
-    ]
-    options = {
-        "ignoreNullFields": "false",
-        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-        "dateFormat": "yyyy-MM-dd",
-    }
-    return rows.select(F.to_json(F.struct(*columns), options).alias("row"))
+    columns = [_json_value(f.name, f.dataType.typeName()) for f in rows.schema.fields]
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    return rows.select(text.alias("row"))
 
 
 def json_page(rows: DataFrame, order: Sequence[Column], page: Page) -> DataFrame:

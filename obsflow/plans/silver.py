@@ -61,8 +61,11 @@ def typed_flares(events: DataFrame, class_keys: Sequence[str] = ("xray_class",))
     keys = {*FLARE_RECORD.fieldNames(), *class_keys}
     schema = T.StructType([T.StructField(name, T.StringType()) for name in sorted(keys)])
     flares = events.filter(one_of(F.col("endpoint"), [LIVE_FLARES, ARCHIVE_FLARES]))
+    # Behind a generator, since a filter on the fields would otherwise move below
+    # the parse and parse every record again for each field it tests.
+    record = F.explode(F.array(F.from_json("record", schema)))
     parsed = (
-        flares.withColumn("rec", F.from_json("record", schema))
+        flares.withColumn("rec", record)
         .withColumn("event_start", event_start(F.col("rec.begin_time"), F.col("event_time")))
         .withColumn("xray_class", F.coalesce(*(F.col(f"rec.{k}") for k in class_keys)))
     )

@@ -30,6 +30,10 @@ def read_export(
         .option("comment", "#")
         .option("quote", '"')
         .option("escape", '"')
+        # An empty field is null and a quoted empty field is empty text, so the
+        # mark for null has to be something that no text holds.
+        .option("nullValue", "\u0000")
+        .option("emptyValue", "")
         .option("multiLine", embedded_newlines)
         .option("mode", "FAILFAST")
         # Pruned parsing would not see the width of a row.

@@ -1,0 +1,173 @@
+"""B1-B12 and T1-T5 end to end on hand-made input."""
+
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from obsflow.plans import jobs
+from obsflow.schemas import RAW_OBSERVATION_COLUMNS
+from obsflow.sources.feeds import stream_payloads
+from obsflow.streaming.bronze import start_bronze, start_refresh
+from obsflow.streaming.latest import read_latest, start_latest
+from obsflow.streaming.overlaps import read_overlaps, start_overlaps
+from tests.conftest import rows
+
+MJD_2015 = 57023  # 2015-01-01
+
+
+def raw_line(**values):
+    return ",".join(f'"{values[c]}"' if c in values else "" for c in RAW_OBSERVATION_COLUMNS)
+
+
+@pytest.fixture
+def inputs(tmp_path):
+    """An export, two years of reports, and a landing folder."""
+    at = MJD_2015
+    lines = [
+        # 09:36 to 09:45 flare C1.9, and X28.0 at 23:50 until 00:10.
+        raw_line(obs_id="o1", t_min=at + 0.375, t_max=at + 0.42, s_ra="10.5", s_dec="-0.5", t_exptime="100",
+                 filters="F656N;F656N;CLEAR", target_name="M 31", instrument_name="WFC3"),
+        raw_line(obs_id="o1", t_min=at + 1, t_max=at + 1.001, s_ra="10.9", s_dec="-0.1", t_exptime="",
+                 filters="F502N", target_name="M 31", instrument_name="WFC3"),
+        raw_line(obs_id="o2", t_min=at + 2, t_max=at + 2.5, s_ra="10.1", s_dec="-1.0", t_exptime="5",
+                 filters="F656N", target_name="dark", instrument_name="ACS"),
+        raw_line(obs_id="o3", t_min=at + 20, t_max=at + 21, s_ra="bad", s_dec="1", t_exptime="7",
+                 filters="F656N", target_name="Dark", instrument_name="ACS"),
+        raw_line(obs_id="  ", t_min=at, t_max=at + 1, s_ra="1", s_dec="1"),
+    ]
+    export = tmp_path / "export.csv"
+    export.write_text("# made up\n" + ",".join(RAW_OBSERVATION_COLUMNS) + "\n" + "\n".join(lines) + "\n")
+    reports = tmp_path / "reports"
+    reports.mkdir()
+    (reports / "report_2015.txt").write_text(
+        "# comment\n:Header\n"
+        "31777150101  0936 0945 0941 N08W23 C 19    GOES 1.2E-03 2253\n"
+        "31777150101  2350 0010 2358        X 280   GOES 9.9E-01\n"
+        "junk\n"
+    )
+    (reports / "report_2016.txt").write_text("31777160101  0936 0945 0941 N08W23 C 19    GOES 1.2E-03\n")
+    landing = tmp_path / "landing"
+    (landing / "solar_flares").mkdir(parents=True)
+    return export, reports, landing, jobs.Layout(str(tmp_path / "lake"))
+
+
+def land(landing, name, records, feed="solar_flares"):
+    (landing / feed).mkdir(exist_ok=True)
+    (landing / feed / name).write_text(json.dumps(records))
+
+
+def test_full_and_incremental_refresh(spark, inputs):
+    export, reports, landing, layout = inputs
+    assert jobs.load_raw(spark, layout, str(export) + ".none") == 0
+    assert jobs.load_raw(spark, layout, str(export)) == 5
+    assert jobs.load_raw(spark, layout, str(export)) == 0
+
+    published = []
+    counts = jobs.refresh_all(spark, layout, str(reports), 2010, 2015, after_gold=published.append)
+    assert published == list(jobs.GOLD)
+    assert counts == {
+        "events": 2, "flares": 2, "observations": 5, "contaminated_obs": 1,
+        "narrow_band_targets": 4, "instrument_calibration": 1, "sky_coverage": 1,
+    }
+    assert rows(spark.table("gold.contaminated_obs")) == [
+        ("o1", datetime(2015, 1, 2), datetime(2015, 1, 2, 0, 1, 26), "X28.0", 108)
+    ]
+    assert rows(spark.table("gold.narrow_band_targets"), "target_name", "filter") == [
+        ("Dark", "F656N", "Halpha", 1), ("M 31", "F502N", "OIII", 1), ("M 31", "F656N", "Halpha", 2),
+        ("dark", "F656N", "Halpha", 1),
+    ]
+    assert rows(spark.table("gold.instrument_calibration")) == [("ACS", date(2015, 1, 1), 6.0, None)]
+    assert rows(spark.table("gold.sky_coverage")) == [(10.0, -1.0, 3, 105.0)]
+    rejects = spark.read.parquet(layout.observation_rejects)
+    assert [r["reject_reason"] for r in rejects.collect()] == ["missing obs_id"]
+
+    # A live flare over the second observation; the same payload twice changes nothing.
+    flare = {"begin_time": "2015-01-03T01:00:00Z", "end_time": "2015-01-03T02:00:00Z", "xray_class": "M2.5"}
+    land(landing, "1.json", [flare, {"begin_time": None}])
+    land(landing, "1.json", [{"time_tag": "2015-01-03T01:00:00", "kp": 2}], "kp_index")
+    for _ in range(2):
+        counts = jobs.refresh_incremental(spark, layout, str(landing))
+        assert counts["flares"] == 3 and counts["contaminated_obs"] == 2
+    assert jobs.read_events(spark, layout).count() == 4
+    scores = rows(spark.table("gold.contaminated_obs").select("obs_id", "risk_score"), "obs_id")
+    assert scores == [("o1", 108), ("o2", 62)]
+
+
+def test_backfill_without_parsed_lines_writes_nothing(spark, inputs):
+    _, reports, _, layout = inputs
+    assert jobs.backfill(spark, layout, str(reports), 1990, 1991) == 0
+    assert not jobs.read_events(spark, layout).columns == []
+    assert jobs.read_events(spark, layout).count() == 0
+
+
+def test_later_ingestion_wins(spark, inputs):
+    _, reports, _, layout = inputs
+    first, second = (F.lit(f"2024-01-0{d}").cast("timestamp") for d in (1, 2))
+    jobs.backfill(spark, layout, str(reports), 2015, 2016, second)
+    jobs.backfill(spark, layout, str(reports), 2015, 2015, first)
+    days = {r["ingested_at"].day for r in jobs.read_events(spark, layout).collect()}
+    assert days == {2}
+
+
+def test_t1_stream_equals_batch(spark, inputs, tmp_path):
+    _, _, landing, layout = inputs
+    other = jobs.Layout(str(tmp_path / "batch"))
+    checkpoint = str(tmp_path / "checkpoint")
+    batches = []
+    for day in (1, 2, 3):
+        flares = [{"begin_time": f"2024-05-{d:02}T0{h}:00:00Z", "xray_class": f"M{day}.{h}"}
+                  for d in range(day, day + 2) for h in range(3)]
+        land(landing, f"{day}.json", flares)
+        stream = stream_payloads(spark, str(landing))
+        start_bronze(stream, layout, checkpoint, after_batch=batches.append).awaitTermination()
+        jobs.ingest_live(spark, other, str(landing))
+    assert batches == [0, 1, 2]
+    keys = ["endpoint", "event_time"]
+    streamed = rows(jobs.read_events(spark, layout).select(*keys), *keys)
+    assert streamed == rows(jobs.read_events(spark, other).select(*keys), *keys)
+    assert len(streamed) == len(set(streamed)) == 12
+    # T5: the whole stream once more, from a new checkpoint.
+    start_bronze(stream_payloads(spark, str(landing)), layout, checkpoint + "2").awaitTermination()
+    assert rows(jobs.read_events(spark, layout).select(*keys), *keys) == streamed
+
+
+def test_t3_stream_refresh(spark, inputs, tmp_path):
+    export, _, landing, layout = inputs
+    jobs.load_raw(spark, layout, str(export))
+    jobs.refresh_observations(spark, layout)
+    land(landing, "1.json", [{"begin_time": "2015-01-03T01:00:00Z", "xray_class": "M2.5"}])
+    done = []
+    start_refresh(
+        stream_payloads(spark, str(landing)), layout, str(tmp_path / "c"), after_gold=done.append
+    ).awaitTermination()
+    assert done == ["contaminated_obs"]
+    assert [r["obs_id"] for r in spark.read.parquet(layout.gold("contaminated_obs")).collect()] == ["o2"]
+
+
+def test_t2_t4_streams_over_several_batches(spark, tmp_path):
+    schema = "id long, k string, f timestamp, t timestamp"
+    source, table = tmp_path / "in", spark.range(6).selectExpr(
+        "id AS obs", "timestamp_seconds(id * 3600) AS o_from", "timestamp_seconds(id * 3600 + 1800) AS o_to"
+    )
+    expected = []
+    for batch in range(3):
+        made = [(10 * batch + i, f"k{i % 2}", 3000 * (batch + i), 3000 * (batch + i) + 700) for i in range(3)]
+        expected += [
+            (o, i) for i, _, f, t in made for o in range(6) if f <= o * 3600 + 1800 and t >= o * 3600
+        ]
+        df = spark.createDataFrame(made, "id long, k string, f long, t long")
+        df.select("id", "k", F.timestamp_seconds("f").alias("f"), F.timestamp_seconds("t").alias("t")) \
+            .coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        start_latest(
+            stream, ["k"], "f", str(tmp_path / "latest"), str(tmp_path / "c1"), ["id"]
+        ).awaitTermination()
+        start_overlaps(
+            stream, table, ("f", "t"), ("o_from", "o_to"), str(tmp_path / "pairs"), str(tmp_path / "c2")
+        ).awaitTermination()
+    latest = read_latest(spark, str(tmp_path / "latest"), ["k"])
+    assert rows(latest.select("k", "id"), "k") == [("k0", 22), ("k1", 21)]
+    pairs = read_overlaps(spark, str(tmp_path / "pairs")).select("obs", "id")
+    assert sorted(rows(pairs)) == sorted(expected)

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from obsflow.functions.flares import record_json
 from obsflow.schemas import CALIBRATION_TARGETS, EMISSION_LINES, RAW_OBSERVATION_COLUMNS
+from obsflow.session import scratch_path
+from obsflow.sinks.files import write_parquet
+from obsflow.sources.tables import read_parquet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in times})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The table over all cores, if it comes in fewer splits than there are cores.
+
+    A table of cluster size has more splits than cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back, as one job hands it to the next."""
+    path = scratch_path(df.sparkSession, name)
+    write_parquet(df, path)
+    return read_parquet(df.sparkSession, path)
+
+
 # Means of amounts in cents often end in a 5 right behind the last digit kept, where
 # the order of a sum decides the rounding. The same small shift on both sides avoids that.
 _SHIFT = 1e-7
@@ -90,9 +109,15 @@ _RAW = {
 }
 
 
+_RAW_INPUT = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An all-text observation table with a row per lineitem."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("day", F.unix_date(F.to_date("l_shipdate")))
+    lines = spread(table(spark, sf_dir, "lineitem").select(*_RAW_INPUT)).withColumn("day", F.unix_date(F.to_date("l_shipdate")))
     return lines.selectExpr(
         *(
             f"{_RAW.get(name, 'CAST(NULL AS STRING)')} AS {name}"
@@ -119,7 +144,7 @@ _CLASS = f"""CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 29 = 0 TH
 
 def flare_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event envelopes with a row per order; starts repeat, so versions compete."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     start = F.col("o_orderdate") + F.expr(
         "make_dt_interval(0, int((o_orderkey % 48) div 2), int((o_orderkey % 2) * 30))"
     )

@@ -11,7 +11,7 @@ from obsflow.operators.paging import Page, page_of
 from obsflow.schemas import FLARE_RECORD
 from obsflow.sources import feeds, reports
 from verification import query
-from verification.inputs import pick, plain, rounded, table
+from verification.inputs import pick, plain, rounded, spread, table
 
 # ---------------------------------------------------------------- cleaning
 
@@ -387,7 +387,7 @@ errors AS (SELECT event_id AS error_id, ts AS error_start, ts + INTERVAL 1 HOUR
 
 def spans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Views lasting ``value`` minutes, and errors lasting an hour."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     length = F.round(F.col("value") * 60 * 1_000_000).cast("bigint")
     views = events.filter("event_type = 'view'").select(
         F.col("event_id").alias("view_id"), F.col("ts").alias("view_start"),

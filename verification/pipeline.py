@@ -18,6 +18,7 @@ from verification.inputs import (
     plain,
     raw_observations,
     rounded,
+    stored,
 )
 
 _LINES = sorted({line for _, line in EMISSION_LINES})
@@ -32,7 +33,8 @@ def _flares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.contaminated_obs(_observations(spark, sf_dir), _flares(spark, sf_dir))
+    flares = stored(_flares(spark, sf_dir), "flares")
+    return gold.contaminated_obs(_observations(spark, sf_dir), flares)
 
 
 def _narrow_band(spark: SparkSession, sf_dir: str) -> DataFrame:
