@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_LIMIT = 256 * 1024 * 1024
+BROADCAST_LIMIT = 512 * 1024 * 1024
 
 # Bytes per row of a hashed relation beyond its text.
 _ROW_BYTES = 48

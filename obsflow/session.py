@@ -20,7 +20,6 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "static")
     )
     if master:
         builder = builder.master(master)

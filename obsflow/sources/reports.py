@@ -26,9 +26,9 @@ def read_reports(spark: SparkSession, folder: str, first_year: int, last_year: i
 def parse_reports(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Data lines with their parsed fields, ``fields`` null where rejected."""
     stripped = lines.select(*keep, "year", strip_line(F.col("line")).alias("line"))
-    return stripped.filter(is_report_data(F.col("line"))).withColumn(
-        "fields", report_fields(F.col("line"), F.col("year"))
-    )
+    # Behind a generator, or each field read later would parse the line again.
+    fields = F.explode(F.array(report_fields(F.col("line"), F.col("year"))))
+    return stripped.filter(is_report_data(F.col("line"))).withColumn("fields", fields)
 
 
 def report_events(parsed: DataFrame, ingested_at: Column) -> DataFrame:

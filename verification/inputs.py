@@ -34,11 +34,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared folder and read back, as one job hands it to the next."""
-    path = scratch_path(df.sparkSession, name)
-    write_parquet(df, path)
-    return read_parquet(df.sparkSession, path)
+_STORED: dict[tuple[str, ...], str] = {}
+
+
+def stored(name: str, sf_dir: str, df: DataFrame) -> DataFrame:
+    """A table written to the shared folder once per session, as one job hands it to the next."""
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        write_parquet(df, path)
+        _STORED[key] = path
+    return read_parquet(spark, _STORED[key])
 
 
 # Means of amounts in cents often end in a 5 right behind the last digit kept, where

@@ -25,16 +25,17 @@ _LINES = sorted({line for _, line in EMISSION_LINES})
 
 
 def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.observations(raw_observations(spark, sf_dir))
+    """The silver table that gold is built on."""
+    return stored("observations", sf_dir, silver.observations(raw_observations(spark, sf_dir)))
 
 
 def _flares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.flares(flare_events(spark, sf_dir))
+    """The silver table that gold is built on."""
+    return stored("flares", sf_dir, silver.flares(flare_events(spark, sf_dir)))
 
 
 def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flares = stored(_flares(spark, sf_dir), "flares")
-    return gold.contaminated_obs(_observations(spark, sf_dir), flares)
+    return gold.contaminated_obs(_observations(spark, sf_dir), _flares(spark, sf_dir))
 
 
 def _narrow_band(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +102,7 @@ _CALIBRATION_COLUMNS = f"""instrument, CAST(year_month AS VARCHAR) AS year_month
 )
 def silver_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1-P7."""
-    obs = _observations(spark, sf_dir)
+    obs = silver.observations(raw_observations(spark, sf_dir))
     return plain(obs.withColumn("filters", F.array_join("filters", "|")))
 
 
@@ -121,7 +122,7 @@ def observation_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("silver_flares", f"WITH {FLARE_EVENTS_SQL} SELECT * FROM flares")
 def silver_flares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P8, X2-X5, P15, P10, W1."""
-    return plain(_flares(spark, sf_dir))
+    return plain(silver.flares(flare_events(spark, sf_dir)))
 
 
 @query(
