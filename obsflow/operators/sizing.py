@@ -34,8 +34,3 @@ def fits(df: DataFrame, limit: int, copies: Column | None = None) -> bool:
     """
     size = row_bytes(df) if copies is None else row_bytes(df) * copies
     return (df.agg(F.sum(size)).first()[0] or 0) <= limit
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Mark for broadcast when the table fits ``limit``; else leave the choice to Spark."""
-    return F.broadcast(df) if fits(df, limit) else df

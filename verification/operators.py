@@ -320,7 +320,7 @@ def report_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(
+    events = spread(table(spark, sf_dir, "events")).select(
         "event_id", "user_id", F.year("ts").alias("year"),
         F.date_format("ts", "yyMMdd").alias("ymd"), F.date_format("ts", "HHmm").alias("hhmm"),
     )
@@ -370,7 +370,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     parts = [element(0), element(1), F.lit("{}"), F.lit('{"time_tag":"x","begin_time":""}'), F.lit("7")]
     array = F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.expr("CASE WHEN event_id % 2 = 0 THEN 'kp_index' ELSE 'solar_flares' END AS endpoint"),
         F.when(F.expr("event_id % 10 = 3"), F.lit("<html>")).otherwise(array).alias("value"),
     )
