@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from obsflow.functions.flares import severity
 from obsflow.functions.predicates import all_present, non_empty, one_of_upper, positive
 from obsflow.operators.grid import grid_aggregate
-from obsflow.operators.intervals import best_overlap
+from obsflow.operators.intervals import best_overlap, interval_join_near
 from obsflow.operators.tags import count_by, explode_tags, reference_table, with_reference
 from obsflow.operators.trends import lag_difference, monthly_mean
 from obsflow.schemas import CALIBRATION_TARGETS, EMISSION_LINES
 
 LAG_ROWS = 12
+OBSERVATION_SPAN = ("t_start", "t_end")
+FLARE_SPAN = ("flare_start", "flare_end")
 
 
 def scored_flares(flares: DataFrame) -> DataFrame:
@@ -26,20 +28,22 @@ def scored_flares(flares: DataFrame) -> DataFrame:
     )
 
 
-def contaminated_obs(observations: DataFrame, flares: DataFrame) -> DataFrame:
-    """Per obs_id the worst flare that overlaps it, with that row's own times.
+def _spans(observations: DataFrame) -> DataFrame:
+    columns = ("obs_id", *OBSERVATION_SPAN)
+    return observations.select(*columns).filter(all_present(*columns))
+
+
+def contaminated_obs(observations: DataFrame, scored: DataFrame) -> DataFrame:
+    """Per obs_id the worst of the scored flares that overlap it, with that row's own times.
 
     Equal scores go to the earlier flare, then to the lower class text, then to
     the earlier observation row.
     """
-    spans = observations.select("obs_id", "t_start", "t_end").filter(
-        all_present("obs_id", "t_start", "t_end")
-    )
     worst = best_overlap(
-        spans,
-        scored_flares(flares),
-        ("t_start", "t_end"),
-        ("flare_start", "flare_end"),
+        _spans(observations),
+        scored,
+        OBSERVATION_SPAN,
+        FLARE_SPAN,
         keys=["obs_id"],
         order=[F.col("risk_score").desc(), F.col("flare_start"), F.col("flare_class")],
         ties=[F.col("t_start"), F.col("t_end")],
@@ -47,6 +51,31 @@ def contaminated_obs(observations: DataFrame, flares: DataFrame) -> DataFrame:
     return worst.select("obs_id", "t_start", "t_end", "flare_class", "risk_score")
 
 
+def touched_obs(observations: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """The obs_id of observations that overlap a scored flare found in one version only.
+
+    All other observations meet the same flares in both versions.
+    """
+    sides = before.withColumn("_side", F.lit(-1)).unionByName(after.withColumn("_side", F.lit(1)))
+    changed = (
+        sides.groupBy(*before.columns)
+        .agg(F.sum("_side").alias("_side"))
+        .filter("_side <> 0")
+        .drop("_side")
+    )
+    hit = interval_join_near(_spans(observations), changed, OBSERVATION_SPAN, FLARE_SPAN)
+    return hit.select("obs_id").distinct()
+
+
+def update_contaminated(
+    contaminated: DataFrame, observations: DataFrame, scored: DataFrame, touched: DataFrame
+) -> DataFrame:
+    """B6 for the touched observations, the other rows as they were."""
+    kept = contaminated.join(touched, "obs_id", "left_anti")
+    again = observations.join(touched, "obs_id", "left_semi")
+    return kept.unionByName(contaminated_obs(again, scored))
+
+
 def narrow_band_targets(observations: DataFrame) -> DataFrame:
     """Observations per target, narrow-band filter and emission line."""
     lines = reference_table(

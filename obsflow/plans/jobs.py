@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -15,7 +16,7 @@ from obsflow.operators.latest import merge_latest
 from obsflow.operators.rejects import REASON, rejected
 from obsflow.plans import gold, silver
 from obsflow.schemas import EVENT_ENVELOPE, FLARE, OBSERVATION, RAW_OBSERVATION
-from obsflow.sinks.catalog import publish
+from obsflow.sinks.catalog import publish, register
 from obsflow.sinks.files import replace_parquet, replace_partitions, write_parquet
 from obsflow.sinks.jdbc import write_database
 from obsflow.sources.archive_csv import read_export
@@ -68,6 +69,15 @@ class Layout:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    @property
+    def contaminated_basis(self) -> str:
+        """The scored flares that contaminated_obs was last computed from."""
+        return f"{self.root}/gold/contaminated_obs_basis"
+
+    def work(self, name: str) -> str:
+        """A fresh path for a table that one job run needs."""
+        return f"{self.root}/work/{name}-{uuid.uuid4().hex[:12]}"
+
 
 def run_time() -> Column:
     """The time a run started: one literal for all of its rows."""
@@ -129,6 +139,8 @@ def refresh_observations(spark: SparkSession, layout: Layout, raw: DataFrame | N
     """Silver observations and their rejects, from the raw table or a database scan."""
     if raw is None:
         raw = read_or_empty(spark, layout.raw, RAW_OBSERVATION)
+    # From here on contaminated_obs has to be computed in full once.
+    paths.delete(spark, layout.contaminated_basis)
     status = F.when(F.col(REASON).isNull(), F.lit("valid")).otherwise(F.lit("rejected"))
     typed = silver.typed_observations(raw).withColumn("status", status)
     return replace_parquet(typed, layout.observations_all, by=["status"])
@@ -149,11 +161,15 @@ def silver_flares(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_or_empty(spark, layout.flares, FLARE)
 
 
+def scored_flares(spark: SparkSession, layout: Layout) -> DataFrame:
+    return gold.scored_flares(silver_flares(spark, layout))
+
+
 def gold_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """One gold table, computed from silver."""
     observations = silver_observations(spark, layout)
     if name == "contaminated_obs":
-        return gold.contaminated_obs(observations, silver_flares(spark, layout))
+        return gold.contaminated_obs(observations, scored_flares(spark, layout))
     build: dict[str, Callable[[DataFrame], DataFrame]] = {
         "narrow_band_targets": gold.narrow_band_targets,
         "instrument_calibration": gold.instrument_calibration,
@@ -166,7 +182,38 @@ def refresh_gold(
     spark: SparkSession, layout: Layout, name: str, database: str = "gold"
 ) -> int:
     """Compute a gold table and publish it in the catalog."""
-    return publish(gold_table(spark, layout, name), f"{database}.{name}", layout.gold(name))
+    rows = publish(gold_table(spark, layout, name), f"{database}.{name}", layout.gold(name))
+    if name == "contaminated_obs":
+        replace_parquet(scored_flares(spark, layout), layout.contaminated_basis)
+    return rows
+
+
+def refresh_contaminated(spark: SparkSession, layout: Layout, database: str = "gold") -> int:
+    """B6 after new flares: the rows of refresh_gold, computed for touched observations only.
+
+    The flares at hand are compared with those that the table was computed
+    from. The latter are replaced last, so a run that broke off is made up for
+    by the next one.
+    """
+    name = "contaminated_obs"
+    path, table = layout.gold(name), f"{database}.{name}"
+    if not paths.path_exists(spark, layout.contaminated_basis):
+        return refresh_gold(spark, layout, name, database)
+    observations, after = silver_observations(spark, layout), scored_flares(spark, layout)
+    before = spark.read.parquet(layout.contaminated_basis)
+    work = layout.work("touched")
+    current = spark.read.parquet(path)
+    if write_parquet(gold.touched_obs(observations, before, after), work) == 0:
+        register(spark, table, path)
+        rows = current.count()
+    else:
+        touched = spark.read.parquet(work)
+        rows = publish(
+            gold.update_contaminated(current, observations, after, touched), table, path
+        )
+        replace_parquet(after, layout.contaminated_basis)
+    paths.delete(spark, work)
+    return rows
 
 
 def register_silver(spark: SparkSession, layout: Layout, database: str = "silver") -> None:
@@ -217,7 +264,7 @@ def refresh_incremental(
     """Live payloads through bronze and silver to the contaminated observations."""
     counts = {"events": ingest_live(spark, layout, landing)}
     counts["flares"] = refresh_flares(spark, layout)
-    counts["contaminated_obs"] = refresh_gold(spark, layout, "contaminated_obs")
+    counts["contaminated_obs"] = refresh_contaminated(spark, layout)
     if after_gold:
         after_gold("contaminated_obs")
     return counts

@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from obsflow.plans.jobs import (
     Layout,
     merge_events,
+    refresh_contaminated,
     refresh_flares,
-    refresh_gold,
     run_time,
 )
 from obsflow.sources.feeds import payload_events
@@ -51,12 +51,12 @@ def start_refresh(
     trigger: dict | None = None,
     after_gold: Callable[[str], object] | None = None,
 ) -> StreamingQuery:
-    """As T1, and after every batch silver flares and contaminated observations anew."""
+    """As T1, and after every batch silver flares and contaminated observations."""
     spark = payloads.sparkSession
 
     def rebuild(_: int) -> None:
         refresh_flares(spark, layout)
-        refresh_gold(spark, layout, "contaminated_obs")
+        refresh_contaminated(spark, layout)
         if after_gold:
             after_gold("contaminated_obs")
 

@@ -1,6 +1,7 @@
 """B1-B12 and T1-T5 end to end on hand-made input."""
 
 import json
+import random
 from datetime import date, datetime
 
 import pytest
@@ -95,6 +96,44 @@ def test_full_and_incremental_refresh(spark, inputs):
     assert scores == [("o1", 108), ("o2", 62)]
 
 
+def test_incremental_equals_full(spark, inputs):
+    """New, corrected and withdrawn flares against observations that share obs_ids."""
+    _, _, _, layout = inputs
+    rng = random.Random(3)
+    hour = 3600
+
+    def write_flares(n, seed):
+        pick = random.Random(seed)
+        made = {}
+        for _ in range(n):
+            start, kind = pick.randrange(0, 400) * hour, pick.choice("ABCMX")
+            end = None if pick.random() < 0.3 else start + pick.randrange(-1, 9) * hour
+            made[start, f"{kind}1.0"] = ("live", start, end, None, f"{kind}1.0", kind, 1.0, 0)
+        df = spark.createDataFrame(
+            list(made.values()),
+            "source string, s long, e long, m long, xray_class string, xray_class_letter string, "
+            "xray_class_magnitude double, i long",
+        )
+        times = {"s": "event_start", "e": "event_end", "m": "event_max", "i": "ingested_at"}
+        for short, name in times.items():
+            df = df.withColumn(short, F.timestamp_seconds(short)).withColumnRenamed(short, name)
+        df.write.mode("overwrite").parquet(layout.flares)
+
+    spans = [(f"o{i % 60}", s := rng.randrange(0, 400) * hour, s + rng.randrange(-1, 12) * hour) for i in range(90)]
+    obs = spark.createDataFrame(spans, "obs_id string, s long, e long")
+    obs.select(
+        "obs_id", F.timestamp_seconds("s").alias("t_start"), F.timestamp_seconds("e").alias("t_end")
+    ).write.parquet(layout.observations)
+
+    for n, seed in ((20, 1), (60, 2), (60, 2), (10, 4), (80, 5)):
+        write_flares(n, seed)
+        written = jobs.refresh_contaminated(spark, layout)
+        got = spark.read.parquet(layout.gold("contaminated_obs"))
+        want = jobs.gold_table(spark, layout, "contaminated_obs")
+        assert sorted(rows(got)) == sorted(rows(want))
+        assert written == got.count() > 0
+
+
 def test_backfill_without_parsed_lines_writes_nothing(spark, inputs):
     _, reports, _, layout = inputs
     assert jobs.backfill(spark, layout, str(reports), 1990, 1991) == 0

@@ -35,7 +35,9 @@ def _flares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.contaminated_obs(_observations(spark, sf_dir), _flares(spark, sf_dir))
+    return gold.contaminated_obs(
+        _observations(spark, sf_dir), gold.scored_flares(_flares(spark, sf_dir))
+    )
 
 
 def _narrow_band(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +146,19 @@ def contaminated_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_contaminated(spark, sf_dir))
 
 
+@query("contaminated_update", f"WITH {CONTAMINATED_SQL} SELECT * FROM contaminated")
+def contaminated_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a table over fewer, partly other flares to the one over all flares."""
+    observations = _observations(spark, sf_dir)
+    after = gold.scored_flares(_flares(spark, sf_dir))
+    later = F.col("flare_start") < F.lit("1999-01-01").cast("timestamp")
+    corrected = F.when(F.col("flare_class").startswith("X1"), 0).otherwise(F.col("risk_score"))
+    before = after.filter(later).withColumn("risk_score", corrected.cast("int"))
+    current = stored("contaminated_before", sf_dir, gold.contaminated_obs(observations, before))
+    touched = stored("touched", sf_dir, gold.touched_obs(observations, before, after))
+    return plain(gold.update_contaminated(current, observations, after, touched))
+
+
 @query("narrow_band_targets", f"WITH {NARROW_BAND_SQL} SELECT * FROM narrow_band")
 def narrow_band_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9, G1, P12, J2, A1."""
