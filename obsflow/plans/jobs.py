@@ -101,16 +101,29 @@ def read_events(spark: SparkSession, layout: Layout) -> DataFrame:
 def merge_events(spark: SparkSession, layout: Layout, events: DataFrame) -> int:
     """U1 + W1 + K2: merge events into bronze; gives the rows of the rewritten days.
 
-    Only the days that occur in the new events are read and rewritten. Their
-    list is as long as the calendar at most, so it can be broadcast.
+    The events are written once at first, so that their parsing is not repeated
+    by the steps that follow; without any, bronze stays as it is. Only the days
+    that occur in them are read and rewritten: the range of days prunes the
+    scan, and the list of days, as long as the calendar at most, is broadcast.
     """
-    new = events.withColumn("event_date", F.to_date("event_time"))
-    touched = F.broadcast(new.select(*EVENT_PARTITION).distinct())
-    existing = read_events(spark, layout).join(touched, list(EVENT_PARTITION), "left_semi")
-    merged = merge_latest(
-        existing, new, (*EVENT_KEY, "event_date"), "ingested_at", ties=("record",)
-    )
-    return replace_partitions(merged, layout.bronze, EVENT_PARTITION)
+    work = layout.work("events")
+    dated = events.withColumn("event_date", F.to_date("event_time"))
+    rows = 0
+    if write_parquet(dated, work):
+        new = spark.read.schema(_DATED_ENVELOPE).parquet(work)
+        first, last = new.agg(F.min("event_date"), F.max("event_date")).first()
+        days = F.broadcast(new.select(*EVENT_PARTITION).distinct())
+        existing = (
+            read_events(spark, layout)
+            .filter(F.col("event_date").between(F.lit(first), F.lit(last)))
+            .join(days, list(EVENT_PARTITION), "left_semi")
+        )
+        merged = merge_latest(
+            existing, new, (*EVENT_KEY, "event_date"), "ingested_at", ties=("record",)
+        )
+        rows = replace_partitions(merged, layout.bronze, EVENT_PARTITION)
+    paths.delete(spark, work)
+    return rows
 
 
 def backfill(
@@ -123,8 +136,8 @@ def backfill(
 ) -> int:
     """B2: archive reports of a span of years into bronze; no parsed line, no write."""
     parsed = parse_reports(read_reports(spark, folder, first_year, last_year))
-    events = report_events(parsed, run_time() if ingested_at is None else ingested_at)
-    return merge_events(spark, layout, events) if has_rows(events) else 0
+    at = run_time() if ingested_at is None else ingested_at
+    return merge_events(spark, layout, report_events(parsed, at))
 
 
 def ingest_live(
@@ -143,7 +156,9 @@ def refresh_observations(spark: SparkSession, layout: Layout, raw: DataFrame | N
     paths.delete(spark, layout.contaminated_basis)
     status = F.when(F.col(REASON).isNull(), F.lit("valid")).otherwise(F.lit("rejected"))
     typed = silver.typed_observations(raw).withColumn("status", status)
-    return replace_parquet(typed, layout.observations_all, by=["status"])
+    # In time order within a file, so that a scan for a time range skips row groups.
+    ordered = typed.sortWithinPartitions("status", "t_start")
+    return replace_parquet(ordered, layout.observations_all, by=["status"])
 
 
 def refresh_flares(spark: SparkSession, layout: Layout) -> int:
