@@ -25,12 +25,3 @@ def row_bytes(df: DataFrame) -> Column:
         if not isinstance(f.dataType, flat)
     ]
     return reduce(lambda a, b: a + b, variable, fixed)
-
-
-def fits(df: DataFrame, limit: int, copies: Column | None = None) -> bool:
-    """Whether the rows, each taken ``copies`` times, stay below ``limit`` bytes.
-
-    One aggregate over the side in question, run before the query it serves.
-    """
-    size = row_bytes(df) if copies is None else row_bytes(df) * copies
-    return (df.agg(F.sum(size)).first()[0] or 0) <= limit

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -21,7 +21,7 @@ from obsflow.sinks.files import replace_parquet, replace_partitions, write_parqu
 from obsflow.sinks.jdbc import write_database
 from obsflow.sources.archive_csv import read_export
 from obsflow.sources.feeds import payload_events, read_payloads
-from obsflow.sources.reports import parse_reports, read_reports, report_events
+from obsflow.sources.reports import parse_reports, read_reports, report_events, report_rejects
 from obsflow.sources.tables import catalog_table, has_rows, read_or_empty, read_table
 
 EVENT_KEY = ("endpoint", "event_time")
@@ -45,6 +45,10 @@ class Layout:
     def bronze(self) -> str:
         return f"{self.root}/bronze/events"
 
+    @property
+    def report_rejects(self) -> str:
+        return f"{self.root}/bronze/report_rejects"
+
     @property
     def observations_all(self) -> str:
         """Valid and rejected rows, one folder each, written in one pass."""
@@ -98,9 +102,14 @@ def read_events(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_or_empty(spark, layout.bronze, _DATED_ENVELOPE)
 
 
-def merge_events(spark: SparkSession, layout: Layout, events: DataFrame) -> int:
+def merge_events(
+    spark: SparkSession, layout: Layout, events: DataFrame, keys: Sequence[str] = EVENT_KEY
+) -> int:
     """U1 + W1 + K2: merge events into bronze; gives the rows of the rewritten days.
 
+    ``keys`` say which events are versions of one another. With the default,
+    events of one feed at the same instant are; add ``record`` to keep them all.
+
     The events are written once at first, so that their parsing is not repeated
     by the steps that follow; without any, bronze stays as it is. Only the days
     that occur in them are read and rewritten: the range of days prunes the
@@ -119,7 +128,7 @@ def merge_events(spark: SparkSession, layout: Layout, events: DataFrame) -> int:
             .join(days, list(EVENT_PARTITION), "left_semi")
         )
         merged = merge_latest(
-            existing, new, (*EVENT_KEY, "event_date"), "ingested_at", ties=("record",)
+            existing, new, (*keys, "event_date"), "ingested_at", ties=("record",)
         )
         rows = replace_partitions(merged, layout.bronze, EVENT_PARTITION)
     paths.delete(spark, work)
@@ -134,9 +143,13 @@ def backfill(
     last_year: int = 2017,
     ingested_at: Column | None = None,
 ) -> int:
-    """B2: archive reports of a span of years into bronze; no parsed line, no write."""
+    """B2: archive reports of a span of years into bronze; no parsed line, no write there.
+
+    The rejected lines of the run are kept beside it.
+    """
     parsed = parse_reports(read_reports(spark, folder, first_year, last_year))
     at = run_time() if ingested_at is None else ingested_at
+    write_parquet(report_rejects(parsed, at), layout.report_rejects)
     return merge_events(spark, layout, report_events(parsed, at))
 
 
@@ -161,11 +174,13 @@ def refresh_observations(spark: SparkSession, layout: Layout, raw: DataFrame | N
     return replace_parquet(ordered, layout.observations_all, by=["status"])
 
 
-def refresh_flares(spark: SparkSession, layout: Layout) -> int:
+def refresh_flares(
+    spark: SparkSession, layout: Layout, class_keys: Sequence[str] = ("xray_class",)
+) -> int:
     """Silver flares and their rejects."""
     events = read_events(spark, layout)
-    replace_parquet(rejected(silver.typed_flares(events)), layout.flare_rejects)
-    return replace_parquet(silver.flares(events), layout.flares)
+    replace_parquet(rejected(silver.typed_flares(events, class_keys)), layout.flare_rejects)
+    return replace_parquet(silver.flares(events, class_keys), layout.flares)
 
 
 def silver_observations(spark: SparkSession, layout: Layout) -> DataFrame:

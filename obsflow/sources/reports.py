@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions.flares import is_report_data, record_json, report_fields, strip_line
+from obsflow.operators.rejects import REASON
 from obsflow.schemas import ARCHIVE_FLARES
 
 # The last group of four digits in a file name is the year of the report.
@@ -45,6 +46,16 @@ def report_events(parsed: DataFrame, ingested_at: Column) -> DataFrame:
     )
 
 
+def report_rejects(parsed: DataFrame, ingested_at: Column) -> DataFrame:
+    """K7: data lines that were not accepted."""
+    return parsed.filter(F.col("fields").isNull()).select(
+        "year",
+        "line",
+        F.lit("no flare in line").alias(REASON),
+        ingested_at.alias("ingested_at"),
+    )
+
+
 def report_counts(parsed: DataFrame) -> DataFrame:
     """Parsed and skipped data lines per year."""
     return parsed.groupBy("year").agg(

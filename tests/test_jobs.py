@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from obsflow.plans import jobs
 from obsflow.schemas import RAW_OBSERVATION_COLUMNS
-from obsflow.sources.feeds import stream_payloads
+from obsflow.sources.feeds import payload_events, read_payloads, stream_payloads
 from obsflow.streaming.bronze import start_bronze, start_refresh
 from obsflow.streaming.latest import read_latest, start_latest
 from obsflow.streaming.overlaps import read_overlaps, start_overlaps
@@ -81,6 +81,8 @@ def test_full_and_incremental_refresh(spark, inputs):
     ]
     assert rows(spark.table("gold.instrument_calibration")) == [("ACS", date(2015, 1, 1), 6.0, None)]
     assert rows(spark.table("gold.sky_coverage")) == [(10.0, -1.0, 3, 105.0)]
+    lines = spark.read.parquet(layout.report_rejects).collect()
+    assert [(r["year"], r["line"], r["reject_reason"]) for r in lines] == [(2015, "junk", "no flare in line")]
     rejects = spark.read.parquet(layout.observation_rejects)
     assert [r["reject_reason"] for r in rejects.collect()] == ["missing obs_id"]
 
@@ -150,6 +152,16 @@ def test_later_ingestion_wins(spark, inputs):
     assert days == {2}
 
 
+def test_event_keys_are_a_choice(spark, inputs):
+    _, _, landing, layout = inputs
+    land(landing, "1.json", [{"begin_time": "2024-05-01T00:00:00Z", "xray_class": c} for c in ("M1.0", "M2.0")])
+    events = payload_events(read_payloads(spark, str(landing)), jobs.run_time())
+    jobs.merge_events(spark, layout, events, keys=(*jobs.EVENT_KEY, "record"))
+    assert jobs.read_events(spark, layout).count() == 2
+    jobs.merge_events(spark, layout, events)
+    assert [json.loads(r["record"])["xray_class"] for r in jobs.read_events(spark, layout).collect()] == ["M2.0"]
+
+
 def test_t1_stream_equals_batch(spark, inputs, tmp_path):
     _, _, landing, layout = inputs
     other = jobs.Layout(str(tmp_path / "batch"))
