@@ -7,8 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from verification import REGISTRY
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES = {name: query.build for name, query in REGISTRY.items()}
+SQL = {name: query.sql for name, query in REGISTRY.items()}
 
 
 @pytest.fixture(scope="module")
