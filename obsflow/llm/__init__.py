@@ -1,3 +1,3 @@
 """Operators for preparing training data, and the queries that apply them."""
 
-from obsflow.llm import languages, mixing, packing, simhash  # noqa: F401
+from obsflow.llm import languages, mixing, packing, simhash, syncmers  # noqa: F401
