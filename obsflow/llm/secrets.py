@@ -173,9 +173,11 @@ def find_secrets(docs: DataFrame, rules=RULES) -> DataFrame:
     extra columns stay within ``row``; an empty table gives no rows. Texts are
     searched whole.
     """
-    held = docs.select(F.struct("*").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    held = docs.select(F.struct("*").alias("row"))
     chosen = candidates(docs, rules).withColumnRenamed("doc_id", "candidate")
-    met = held.join(chosen, F.col("doc_id").eqNullSafe(F.col("candidate")), "left")
+    met = held.join(chosen, F.col("row.doc_id").eqNullSafe(F.col("candidate")), "left").select(
+        "row", F.coalesce("row.text", F.lit("")).alias("text"), "kinds"
+    )
     none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
     each = [
         _spans(r, n) if scans_fully(r) else F.when(F.array_contains("kinds", r.kind), _spans(r, n)).otherwise(none)
