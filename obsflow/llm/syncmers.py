@@ -18,6 +18,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ KMER = 12
 INNER = 4
 ANCHORS = 48
 _CHARS_AT_ONCE = 1 << 18
+_BYTES_AT_ONCE = 1 << 22
 _ANCHOR = np.dtype([("hash", ">u4"), ("place", ">u4")])
 
 
@@ -179,26 +181,32 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
 
 
 def _fingerprint_rows(schema: pa.Schema):
+    held: list[tuple] = []  # the last row so far, which waits for its next one
+
+    def some(batch):
+        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+        rows = held + list(zip(int64(batch.column("ends")).tolist(), ids, texts, anchors(texts)))
+        held[:] = rows[-1:]
+        pairs = [(a, b) for a, b in zip(rows, rows[1:]) if not a[0]]
+        changed = [edited(a[2], b[2]) for a, b in pairs]
+        new = anchors(changed)
+        return record_batch(
+            schema,
+            [a[1] for a, _ in pairs],
+            [len(a[2]) for a, _ in pairs],
+            [hashlib.sha256(t.encode()).hexdigest() for t in changed],
+            [printed(a[3]) for a, _ in pairs],
+            [printed(e) for e in new],
+            [likeness(a[3], e) for (a, _), e in zip(pairs, new)],
+            [likeness(a[3], b[3]) for a, b in pairs],
+        )
+
     def step(batches):
-        held: list[tuple] = []  # the last row so far, which waits for its next one
+        held.clear()
         for batch in batches:
-            ends, ids = int64(batch.column("ends")), batch.column("doc_id").to_pylist()
-            texts = batch.column("text").to_pylist()
-            rows = held + list(zip(ends.tolist(), ids, texts, anchors(texts)))
-            pairs = [(a, b) for a, b in zip(rows, rows[1:]) if not a[0]]
-            changed = [edited(a[2], b[2]) for a, b in pairs]
-            new = anchors(changed)
-            yield record_batch(
-                schema,
-                [a[1] for a, _ in pairs],
-                [len(a[2]) for a, _ in pairs],
-                [hashlib.sha256(t.encode()).hexdigest() for t in changed],
-                [printed(a[3]) for a, _ in pairs],
-                [printed(e) for e in new],
-                [likeness(a[3], e) for (a, _), e in zip(pairs, new)],
-                [likeness(a[3], b[3]) for a, b in pairs],
-            )
-            held = rows[-1:]
+            lengths = pc.binary_length(batch.column("text")).to_pylist()
+            for begin, end in groups_of(lengths, _BYTES_AT_ONCE):
+                yield some(batch.slice(begin, end - begin))
 
     return step
 
