@@ -1,20 +1,22 @@
 """Embedding near-duplicates by spherical-cap filters (operator 1).
 
 Each vector is assigned to the caps of the unit sphere that contain it: all
-filter directions with which its inner product exceeds a height. Two vectors of
-cosine ``threshold`` share some cap with probability ``recall`` or more; pairs
+filter directions with which its inner product exceeds a height, which is a share
+of its largest one. A height common to all vectors would put some into very many
+caps and others into none. Two vectors of cosine ``threshold`` share some cap with probability ``recall`` or more; pairs
 that share one are compared in double precision.
 
 The directions form a random product code (Becker, Ducas, Gama and Laarhoven,
-2016): the rotated space is cut into blocks, each with a few random words, and a
-direction is one word from each block. A vector's inner products with all
-``words ** blocks`` directions are sums over blocks, so those above the height
-are listed block by block without looking at the others. The height depends on
+2016): the rotated space is cut into two blocks (below 16 dimensions it is one),
+each with random words, and a direction is one word from each block. A vector's
+inner products with all ``words ** 2`` directions are sums over blocks, so those
+above the height are listed block by block without looking at the others. The height depends on
 the dimension and these parameters alone: seeded pairs at exactly the threshold
 are drawn, and the height is the one at which ``recall`` of them share a cap.
 
-More words make smaller caps: 64 suit up to some ten million vectors, 512 some
-billions, at about the same number of caps per vector.
+More words make smaller caps, at about the same number of caps per vector: the
+share of all vectors that a vector is compared with, about a hundredth with 256
+words in 64 dimensions, falls with them.
 """
 
 from __future__ import annotations
@@ -33,11 +35,10 @@ from obsflow.llm.registry import query
 
 THRESHOLD = 0.9
 RECALL = 0.995
-WORDS = 64
+WORDS = 256
 CELL_ROWS = 4096
 _SEED = 20161
-_TRIALS = 800
-_MOST_CAPS = 40
+_TRIALS = 400
 _VECTORS_AT_ONCE = 2048
 
 
@@ -46,25 +47,24 @@ class ProductCode:
     """Filter directions for one dimension."""
 
     rotation: np.ndarray
-    blocks: tuple[np.ndarray, ...]  # words by block, scaled so that directions have length one
+    blocks: tuple[np.ndarray, ...]  # words by block
     edges: tuple[int, ...]
 
     @classmethod
     def of(cls, dimension: int, words: int) -> "ProductCode":
         draw = np.random.default_rng((_SEED, dimension, words))
-        count = 1 if dimension < 16 else 2 if dimension < 32 else 3
+        count = 1 if dimension < 16 else 2
         edges = tuple(round(i * dimension / count) for i in range(count + 1))
-        blocks = []
-        for low, high in zip(edges, edges[1:]):
-            some = draw.standard_normal((words if count > 1 else words * words, high - low))
-            blocks.append(some / np.linalg.norm(some, axis=1, keepdims=True) / np.sqrt(count))
+        some = [draw.standard_normal((words, high - low)) for low, high in zip(edges, edges[1:])]
         rotation, _ = np.linalg.qr(draw.standard_normal((dimension, dimension)))
-        return cls(rotation, tuple(blocks), edges)
+        return cls(rotation, tuple(b / np.linalg.norm(b, axis=1, keepdims=True) for b in some), edges)
 
     def scores(self, unit: np.ndarray) -> list[np.ndarray]:
-        """Inner products with the words of each block."""
+        """Inner products with the words of each block, as shares of the vector's best direction."""
         turned = unit @ self.rotation
-        return [turned[:, low:high] @ words.T for low, high, words in zip(self.edges, self.edges[1:], self.blocks)]
+        own = [turned[:, low:high] @ words.T for low, high, words in zip(self.edges, self.edges[1:], self.blocks)]
+        best = sum(s.max(axis=1) for s in own)
+        return [s / np.maximum(best, 1e-300)[:, None] for s in own]
 
     def decode(self, unit: np.ndarray, height: float) -> tuple[np.ndarray, np.ndarray]:
         """(row, direction) of all directions above the height; the next block is opened only where it can get there."""
@@ -81,11 +81,7 @@ class ProductCode:
 
 @lru_cache
 def caps(dimension: int, words: int, threshold: float, recall: float) -> tuple[ProductCode, float]:
-    """The filter directions, and the height at which the given share of random pairs at the threshold share a cap.
-
-    In few dimensions that many words would put each vector into very many caps;
-    they are halved until a vector is in ``_MOST_CAPS`` on average.
-    """
+    """The filter directions, and the height at which the given share of random pairs at the threshold share a cap."""
     draw = np.random.default_rng((_SEED, dimension, 1))
     x = draw.standard_normal((_TRIALS, dimension))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -93,19 +89,12 @@ def caps(dimension: int, words: int, threshold: float, recall: float) -> tuple[P
     away -= (away * x).sum(axis=1, keepdims=True) * x
     away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
     y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * away
-    while True:
-        code = ProductCode.of(dimension, words)
-        best = [min_sums.max() for min_sums in _common_scores(code, x, y)]
-        height = float(np.quantile(best, 1 - recall, method="lower"))
-        if words <= 2 or len(code.decode(x, height)[0]) <= _MOST_CAPS * _TRIALS:
-            return code, height
-        words //= 2
-
-
-def _common_scores(code: ProductCode, x: np.ndarray, y: np.ndarray):
-    """Of each pair: the smaller of its two scores with every direction."""
-    for pair in zip(zip(*code.scores(x)), zip(*code.scores(y))):
-        yield np.minimum(*(reduce(np.add.outer, scores) for scores in pair))
+    code = ProductCode.of(dimension, words)
+    best = [
+        np.minimum(*(reduce(np.add.outer, scores) for scores in pair)).max()
+        for pair in zip(zip(*code.scores(x)), zip(*code.scores(y)))
+    ]
+    return code, float(np.quantile(best, 1 - recall, method="lower"))
 
 
 def _vectors(batch: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
