@@ -1,3 +1,3 @@
 """Operators for preparing training data, and the queries that apply them."""
 
-from obsflow.llm import languages, mixing, packing, secrets, simhash, spherical, substrings, syncmers  # noqa: F401
+from obsflow.llm import languages, mixing, packing, preferences, secrets, simhash, spherical, substrings, syncmers, urls  # noqa: F401
