@@ -26,10 +26,13 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +42,11 @@ from obsflow.llm.registry import query
 WINDOW = 13
 GRAM = 3
 #: Text per shard; its stretches take several times as much.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: A stretch with more places than this in a batch is frequent.
 LISTED = 8
-_BYTES_AT_ONCE = 2 << 20
-_FLUSH_BYTES = 48 << 20
+_BYTES_AT_ONCE = 1 << 20
+_FLUSH_BYTES = 8 << 20
 _NO_ID = np.iinfo(np.int64).max  # a document without id comes after all others
 _BASE = 0x9E3779B97F4A7C15
 _SHORT_GRAM = 4 * GRAM
@@ -69,7 +72,7 @@ class Words:
         data = np.frombuffer(joined, np.uint8)
         spaces = np.flatnonzero(data == 32)
         self.starts, self.ends = np.r_[0, spaces + 1], np.r_[spaces, len(data)]
-        size = 1 << max(22, int(len(data)).bit_length())
+        size = 1 << max(21, int(len(data)).bit_length())
         up, self._down = _powers(size)
         with np.errstate(over="ignore"):
             self._sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)]
@@ -109,41 +112,55 @@ class Words:
 
 
 def _runs_of_words(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], Words]]:
-    """Some texts at a time: their numbers, the number of the first word of each, and the words.
+    """The words of the texts: the texts' numbers, the number of the first word of each, and the words.
 
     A long text comes in parts that overlap by a window less one word.
     """
-    for begin, end in groups_of((len(t) for t in texts), _BYTES_AT_ONCE):
-        split = [t.split() for t in texts[begin:end]]
-        if end - begin > 1 or len(texts[begin]) <= _BYTES_AT_ONCE:
-            some = [(begin + k, w) for k, w in enumerate(split) if len(w) >= WINDOW]
-            if some:
-                words = Words([len(w) for _, w in some], b" ".join(b" ".join(w) for _, w in some))
-                yield [k for k, _ in some], [0] * len(some), words
-            continue
-        parts = list(groups_of((len(w) + 1 for w in split[0]), _BYTES_AT_ONCE))
-        for first, last in parts:
-            part = split[0][first : last + WINDOW - 1]
+    split = [(k, w) for k, w in enumerate(t.split() for t in texts) if len(w) >= WINDOW]
+    if sum(map(len, texts)) <= _BYTES_AT_ONCE:
+        if split:
+            yield [k for k, _ in split], [0] * len(split), Words([len(w) for _, w in split], b" ".join(b" ".join(w) for _, w in split))
+        return
+    for number, words in split:
+        for first, last in groups_of((len(w) + 1 for w in words), _BYTES_AT_ONCE):
+            part = words[first : last + WINDOW - 1]
             if len(part) >= WINDOW:
-                yield [begin], [first], Words([len(part)], b" ".join(part))
+                yield [number], [first], Words([len(part)], b" ".join(part))
 
 
-def _stretches(batch: pa.RecordBatch, shards: int):
-    """Of a batch: rows (shard, content, anchor's place and length in it, document, text key, first window)."""
+def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """A few texts at a time, about ``size`` bytes of them."""
+    lengths = pc.binary_length(batch.column("text")).fill_null(0).to_pylist()
+    for begin, end in groups_of(lengths, size):
+        yield batch.slice(begin, end - begin)
+
+
+@dataclass
+class Stretches:
+    """Stretches of some documents: columns of numbers, and the words that the byte places refer to."""
+
+    joined: bytes
+    columns: dict[str, np.ndarray]
+
+    @classmethod
+    def of(cls, words: Words, numbers: np.ndarray, firsts: np.ndarray, ids: np.ndarray, keys: np.ndarray, shards: int):
+        owner, at, sizes, anchor, hashes = words.stretches()
+        begins = (np.cumsum(words.counts) - words.counts)[owner]
+        low, last = words.starts[at], at + sizes + WINDOW - 2
+        return cls(words.joined, {
+            "shard": (hashes % np.uint64(shards)).astype(np.int64), "content": words.hashes(at, last),
+            "low": low, "high": words.ends[last], "windows": sizes,
+            "gram": words.starts[anchor] - low, "gram_length": words.ends[anchor + GRAM - 1] - words.starts[anchor],
+            "doc": ids[numbers[owner]], "key": keys[numbers[owner]], "first": firsts[owner] + at - begins,
+        })
+
+
+def _stretches(batch: pa.RecordBatch, shards: int) -> Iterator[Stretches]:
     texts = [t or b"" for t in batch.column("text").to_pylist()]
     ids = int64(batch.column("doc_id"), _NO_ID)
-    keys = np.array([zlib.crc32(t) for t in texts], np.uint32)
+    keys = np.array([zlib.crc32(t) for t in texts], np.int64)
     for numbers, firsts, words in _runs_of_words(texts):
-        owner, at, sizes, anchor, hashes = words.stretches()
-        if not len(owner):
-            continue
-        doc = np.array(numbers)[owner]
-        begins = (np.cumsum(words.counts) - words.counts)[owner]
-        low, high = words.starts[at], words.ends[at + sizes + WINDOW - 2]
-        gram, gram_end = words.starts[anchor] - low, words.ends[anchor + GRAM - 1] - words.starts[anchor]
-        content = [words.joined[a:b] for a, b in zip(low.tolist(), high.tolist())]
-        shard = (hashes % np.uint64(shards)).astype(np.int64)
-        yield shard, content, gram, gram_end, ids[doc], keys[doc], np.array(firsts)[owner] + at - begins
+        yield Stretches.of(words, np.array(numbers), np.array(firsts), ids, keys, shards)
 
 
 _BLOB = pa.schema([("shard", pa.int32()), ("contents", pa.binary()), ("numbers", pa.binary()), ("size", pa.int64())])
@@ -155,51 +172,62 @@ def _content_key(content: bytes) -> int:
 
 
 class Batch:
-    """Stretches gathered from some documents, equal ones together."""
-
-    def __init__(self):
-        self.places: dict[bytes, list] = {}
-        self.anchors: list[tuple[int, int, int]] = []
-        self.held = 0
-
-    def add(self, shard, content, gram, gram_end, doc, key, first) -> None:
-        places = self.places
-        for s, c, g, e, *place in zip(shard.tolist(), content, gram.tolist(), gram_end.tolist(), doc.tolist(), key.tolist(), first.tolist()):
-            own = places.get(c)
-            if own is None:
-                own = places[c] = [(s, g, e)]
-                self.held += len(c) + 100
-            own.append(place)
+    """Stretches gathered from some documents, equal ones together, sorted by shard."""
+
+    def __init__(self, gathered: list[Stretches]):
+        self.joined = [g.joined for g in gathered]
+        run = np.repeat(np.arange(len(gathered)), [len(g.columns["doc"]) for g in gathered])
+        columns = {name: np.concatenate([g.columns[name] for g in gathered]) for name in gathered[0].columns}
+        order = np.lexsort((columns["first"], columns["key"], columns["doc"], columns["content"], columns["shard"]))
+        self.run, self.columns = run[order], {name: c[order] for name, c in columns.items()}
+        content, length = self.columns["content"], self.columns["high"] - self.columns["low"]
+        new = np.r_[True, (content[1:] != content[:-1]) | (length[1:] != length[:-1])]
+        self.begins = np.flatnonzero(new[: len(content)])
+        self.counts = np.diff(np.r_[self.begins, len(content)])
+
+    def _texts(self, groups: np.ndarray) -> list[bytes]:
+        at = self.begins[groups]
+        places = zip(self.run[at].tolist(), self.columns["low"][at].tolist(), self.columns["high"][at].tolist())
+        return [self.joined[run][low:high] for run, low, high in places]
 
     def blobs(self) -> Iterator[pa.RecordBatch]:
         """A row for each shard: its stretches, and of each the anchor's place, the frequency mark and the places."""
-        by_shard: dict[int, list] = {}
-        for content, (anchor, *places) in self.places.items():
-            by_shard.setdefault(anchor[0], []).append((content, anchor, places))
+        frequent = self.counts > LISTED
+        listed = np.where(frequent, 1, self.counts)  # of a frequent one the place in the smallest document
+        owner, nth = _repeat(listed)
+        place = self.begins[owner] + nth
+        doc, key, first = (self.columns[c][place] for c in ("doc", "key", "first"))
+        shard = self.columns["shard"][self.begins]
+        cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else np.zeros(0, np.int64)
+        ends = np.r_[0, np.cumsum(listed)]
         rows = []
-        for shard, own in by_shard.items():
-            contents = b"\n".join(c for c, _, _ in own)
-            frequent = [len(p) > LISTED for _, _, p in own]
-            listed = [[min(p)] if f else p for (_, _, p), f in zip(own, frequent)]
-            flat = np.array([x for p in listed for x in p], np.int64).reshape(-1, 3)
-            numbers = b"".join((
-                np.array([[a[1], a[2]] for _, a, _ in own], "<u4").T.tobytes(),
-                np.array([len(p) for p in listed], "u1").tobytes(), np.array(frequent, "u1").tobytes(),
-                flat[:, 0].astype("<i8").tobytes(), flat[:, 1].astype("<u4").tobytes(), flat[:, 2].astype("<i8").tobytes(),
+        for low, high in zip(cuts.tolist(), cuts[1:].tolist()):
+            own, at = slice(low, high), self.begins[low:high]
+            flat = slice(int(ends[low]), int(ends[high]))
+            numbers = b"".join(x.tobytes() for x in (
+                self.columns["gram"][at].astype("<u4"), self.columns["gram_length"][at].astype("<u4"),
+                listed[own].astype("u1"), frequent[own].astype("u1"),
+                doc[flat].astype("<i8"), key[flat].astype("<u4"), first[flat].astype("<i8"),
             ))
-            rows.append((shard, _packed(contents), _packed(numbers), len(own)))
+            texts = self._texts(np.arange(low, high))
+            rows.append((int(shard[low]), _packed(b"\n".join(texts)), _packed(numbers), high - low))
         if rows:
             yield record_batch(_BLOB, *zip(*rows))
 
     def frequent(self) -> Iterator[pa.RecordBatch]:
-        rows = [
-            (key, *place, windows)
-            for content, (_, *places) in self.places.items() if len(places) > LISTED
-            for key, windows in [(_content_key(content), content.count(b" ") + 2 - WINDOW)]
-            for place in places
-        ]
-        if rows:
-            yield record_batch(_PLACE, *zip(*rows))
+        groups = np.flatnonzero(self.counts > LISTED)
+        owner, nth = _repeat(self.counts[groups])
+        content = np.array([_content_key(t) for t in self._texts(groups)], np.int64)
+        place = self.begins[groups[owner]] + nth
+        yield record_batch(
+            _PLACE, content[owner], *(self.columns[c][place] for c in ("doc", "key", "first", "windows"))
+        )
+
+
+def _repeat(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each number as often as its count says, and the place within its repeats."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def _packed(data: bytes) -> bytes:
@@ -212,14 +240,16 @@ def _unpacked(data: bytes) -> bytes:
 
 def _gather(shards: int, what: str):
     def step(batches):
-        gathered = Batch()
+        gathered, held = [], 0
         for batch in batches:
-            for some in _stretches(batch, shards):
-                gathered.add(*some)
-                if gathered.held > _FLUSH_BYTES:
-                    yield from getattr(gathered, what)()
-                    gathered = Batch()
-        yield from getattr(gathered, what)()
+            for some in (s for texts in _slices(batch, _BYTES_AT_ONCE) for s in _stretches(texts, shards)):
+                gathered.append(some)
+                held += len(some.joined)
+                if held > _FLUSH_BYTES:
+                    yield from getattr(Batch(gathered), what)()
+                    gathered, held = [], 0
+        if gathered:
+            yield from getattr(Batch(gathered), what)()
 
     return step
 
@@ -396,15 +426,13 @@ def repeated_windows(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFra
     return verdicts.filter("content IS NULL").select(columns).union(joined.select(columns)).filter("mask <> 0")
 
 
-def covered(n_words: int, places: list[dict]) -> np.ndarray:
+def covered(n_words: int, first: np.ndarray, mask: np.ndarray) -> np.ndarray:
     """Which words the found windows cover."""
     edge = np.zeros(n_words + 1, np.int64)
-    if places:
-        first, mask = (np.array([p[c] for p in places], np.int64) for c in ("first", "mask"))
-        for k in range(int(mask.max()).bit_length()):
-            begin = first[mask >> k & 1 == 1] + k
-            np.add.at(edge, begin, 1)
-            np.add.at(edge, begin + WINDOW, -1)
+    for k in range(int(mask.max(initial=0)).bit_length()):
+        begin = first[mask >> k & 1 == 1] + k
+        np.add.at(edge, begin, 1)
+        np.add.at(edge, begin + WINDOW, -1)
     return np.cumsum(edge)[:-1] > 0
 
 
@@ -413,16 +441,18 @@ _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed"
 
 def _remove(batches):
     for whole in batches:
-        lengths = [len(t or b"") for t in whole.column("text").to_pylist()]
-        for begin, end in groups_of(lengths, 4 * _BYTES_AT_ONCE):
-            batch = whole.slice(begin, end - begin)
+        for batch in _slices(whole, 2 * _BYTES_AT_ONCE):
+            places = batch.column("places")
+            ends = np.r_[0, np.cumsum(int64(places.value_lengths()))]
+            first, mask = (int64(places.flatten().field(c)) for c in ("first", "mask"))
             counts, removed, kept = [], [], []
-            for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
+            for number, text in enumerate(batch.column("text").to_pylist()):
                 words = (text or b"").split()
-                gone = covered(len(words), places or [])
+                own = slice(ends[number], ends[number + 1])
+                gone = covered(len(words), first[own], mask[own])
                 counts.append(len(words))
                 removed.append(int(gone.sum()))
-                kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if removed[-1] else b" ".join(words))
+                kept.append(b" ".join(compress(words, (~gone).tolist())))
             yield record_batch(_KEPT, batch.column("doc_id"), counts, removed, kept)
 
 
