@@ -29,6 +29,7 @@ MAX_REPEATS = 3
 PASSES = 3
 SEED = "mix:"
 _CELLS = 4096
+_RANKED = ("doc_id", "source", "size", "rank", "cell", "inner")
 
 
 def word_count(text: str) -> Column:
@@ -71,11 +72,18 @@ def _with_rank(sized: DataFrame) -> DataFrame:
 
 
 def _crossing(rows: DataFrame, cell: str, before: Column) -> DataFrame:
-    """(source, cell, words before it) of the cell of each source in which the rest of its target is reached."""
+    """(source, cut, before, words): per source the cell in which the rest of its target is reached, and the words before it.
+
+    No cell if the rest is more than all words, which ``words`` counts.
+    """
     cells = rows.groupBy("source", cell).agg(F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first(before).alias("base"))
     running = F.sum("words").over(Window.partitionBy("source").orderBy(cell))
     at = cells.withColumn("before", F.col("base") + running - F.col("words"))
-    return at.filter("before <= rest AND rest < before + words").select("source", F.col(cell).alias(f"cut_{cell}"), "before")
+    crosses = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words"))
+    return at.groupBy("source").agg(
+        F.max(F.when(crosses, F.col(cell))).alias("cut"), F.max(F.when(crosses, F.col("before"))).alias("before"),
+        F.sum("words").alias("words"),
+    )
 
 
 def _same_source(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -111,29 +119,31 @@ def cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     sum. Ranks tie where ids do; then the id and the size decide, and rows alike
     in all of that are one as good as another.
     """
+    ranked = staged(_with_rank(_same_source(sizes, targets)).filter("rank IS NOT NULL").select(*_RANKED), "mix-ranks")
     rest = F.when(F.col("source_size") > 0, F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size"))
     found = targets.withColumn("rest_0", rest)
     for number in range(PASSES):
-        ranked = _with_rank(_same_source(sizes, found)).withColumn("rest", F.col(f"rest_{number}"))
-        open_rows = ranked.filter(F.col("rank").isNotNull() & ~_taken(number) & (F.col("size") <= F.col("rest")))
-        rows = open_rows.select("doc_id", "source", "size", "rank", "cell", "inner", "rest")
-        outer = staged(_crossing(rows, "cell", F.lit(0)), "mix-cells")
-        within = _same_source(rows, outer).filter("cell = cut_cell")
-        inner = staged(_crossing(within, "inner", F.col("before")), "mix-inner")
-        last_rows = _same_source(within.drop("before"), inner).filter("inner = cut_inner")
+        known = _same_source(ranked, found.drop("source_size", "target"))
+        rows = known.filter(~_taken(number) & (F.col("size") <= F.col(f"rest_{number}"))).select(
+            *_RANKED, F.col(f"rest_{number}").alias("rest")
+        )
+        outer = staged(_crossing(rows, "cell", F.lit(0)).repartition(1), "mix-cells")
+        within = staged(_same_source(rows, outer.drop("words")).filter("cell = cut").drop("cut"), "mix-within")
+        inner = staged(_crossing(within, "inner", F.col("before")).repartition(1), "mix-inner")
         order = Window.partitionBy("source").orderBy(_key()).rowsBetween(Window.unboundedPreceding, -1)
-        passed = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
-        counted = F.col("size") / 2 if number == PASSES - 1 else F.col("size")
-        last = last_rows.withColumn("passed", passed).filter(F.col("passed") + counted <= F.col("rest"))
-        found = _same_source(found, outer.select("source", F.col("cut_cell").alias(f"cell_{number}")))
-        found = _same_source(found, inner.select("source", F.col("cut_inner").alias(f"inner_{number}")))
-        found = _same_source(found, last.groupBy("source").agg(F.max(_key()).alias(f"last_{number}")))
-        if number < PASSES - 1:
-            judged = _with_rank(_same_source(sizes, found)).filter(_below_cut(number) & ~_taken(number))
-            spent = judged.groupBy("source").agg(F.sum("size").alias("spent"))
-            left = F.col(f"rest_{number}") - F.coalesce("spent", F.lit(0))
-            found = _same_source(found, spent).withColumn(f"rest_{number + 1}", left).drop("spent")
-        found = staged(found, "mix-cuts")
+        reached = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size")
+        over = F.col("size") / 2 if number == PASSES - 1 else F.lit(0)
+        last_rows = _same_source(within.drop("before"), inner.drop("words")).filter("inner = cut").withColumn("reached", reached)
+        last = last_rows.filter(F.col("reached") - over <= F.col("rest")).groupBy("source").agg(
+            F.max(_key()).alias(f"last_{number}"), F.max("reached").alias("reached")
+        )
+        cut = _same_source(found, outer.select("source", F.col("cut").alias(f"cell_{number}"), "words"))
+        cut = _same_source(cut, inner.select("source", F.col("cut").alias(f"inner_{number}"), "before"))
+        cut = _same_source(cut, last)
+        whole = F.when(F.col(f"cell_{number}").isNull(), F.coalesce("words", F.lit(0)))
+        spent = whole.otherwise(F.coalesce("reached", "before"))
+        cut = cut.withColumn(f"rest_{number + 1}", F.col(f"rest_{number}") - spent)
+        found = staged(cut.drop("words", "before", "reached").repartition(1), "mix-cuts")
     return found
 
 
@@ -151,7 +161,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed:
         F.struct("*").alias("row"), "doc_id", "source", word_count("text").alias("size"), hash_share(F.col("doc_id"), seed).alias("u")
     )
     sizes = staged(held.drop("row"), "mix-sizes")
-    targets = staged(source_targets(sizes, weights, max_repeats), "mix-targets")
+    targets = staged(source_targets(sizes, weights, max_repeats).repartition(1), "mix-targets")
     judged = _with_rank(_same_source(held, cuts(sizes, targets)))
     copies = F.col("whole") + _taken(PASSES).cast("int")
     return judged.select("row", "size", "source_size", "target", copies.cast("int").alias("copies"))

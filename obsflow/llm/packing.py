@@ -239,7 +239,7 @@ def cut(schedule: Schedule, sequences: Sequences, queue: np.ndarray, first: np.n
     return owner, since[i] + (here - place[i]) - first[owner], until - here, number, here - sequences.start(number)
 
 
-def _pieces(schedule: Schedule, sequences: Sequences, dtype: str):
+def _pieces(schedule: Schedule, sequences: Sequences):
     schema = pa.schema([
         ("doc_id", pa.int64()), ("source", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()),
@@ -255,7 +255,8 @@ def _pieces(schedule: Schedule, sequences: Sequences, dtype: str):
                 owner, start, length, number, offset = cut(schedule, sequences, queue[own], first[own], tokens[own])
                 some = batch.slice(begin, end - begin)
                 # A document's pieces follow one another, so their ids are the documents' ids in a row.
-                ids = np.frombuffer(b"".join(some.column("ids").to_pylist()), dtype).astype("<u4")
+                data = b"".join(some.column("ids").to_pylist())
+                ids = np.frombuffer(data, f"<u{len(data) // int(tokens[own].sum())}").astype("<u4")
                 ends = np.append(0, np.cumsum(length) * 4).astype(np.int32)
                 values = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
                 take = pa.array(owner)
@@ -289,7 +290,6 @@ def pack(
     """
     if weights and len(weights) > MAX_QUEUES:
         raise ValueError(f"weights for more than {MAX_QUEUES} sources")
-    model = encoder(vocabulary)
     encoded = staged(
         arrow_map(
             docs.select("doc_id", "source", "text"), _encode(vocabulary, END_ID),
@@ -314,7 +314,7 @@ def pack(
         (F.col("task") == F.col("t")) & F.col("source").eqNullSafe(F.col("s")),
     ).select("doc_id", "source", "queue", (F.col("base") + F.col("first")).alias("first"), "doc_tokens", "ids")
     return arrow_map(
-        at, _pieces(schedule, Sequences.of(sum(totals), sequence), model.dtype.str),
+        at, _pieces(schedule, Sequences.of(sum(totals), sequence)),
         "doc_id bigint, source string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary",
     )
 
