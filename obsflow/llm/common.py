@@ -16,7 +16,17 @@ from obsflow.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Texts are long, so what a Python worker gets at a time is bounded in bytes, not in rows.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session to 8 MB; a worker's memory is a multiple of that."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -37,6 +47,7 @@ def arrow_map(
     step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
+    bound_batches(df.sparkSession)
     return df.mapInArrow(step, schema)
 
 

@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import base64
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,8 +39,10 @@ PAD_ID = 0
 #: Smaller sources than the first so many, by tokens, share one queue.
 MAX_QUEUES = 1024
 VOCABULARY = "byte_bpe_50k"
+# Fixed value: the special token of that vocabulary.
+SPECIAL = ("<|endoftext|>",)
 _FRACTION = 28
-_CHARS_AT_ONCE = 1 << 22
+_CHARS_AT_ONCE = 1 << 20
 
 
 class Encoder:
@@ -51,17 +54,21 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str):
-        self.exact = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
+        self.vocabulary = vocabulary
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(
             vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.dtype = np.dtype("<u2") if self.exact.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.dtype = np.dtype("<u2") if len(ranks) + len(SPECIAL) <= 1 << 16 else np.dtype("<u4")
+
+    @cached_property
+    def exact(self) -> Tokenizer:
+        """Loaded where a text needs it: it takes some 100 MB of a worker's memory."""
+        return Tokenizer.from_file(public_tokenizers.path(f"{self.vocabulary}.json"))
 
     def ids(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
+        if any(s in text for s in SPECIAL):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, self.dtype)
         return np.array(self.fast.encode_ordinary(text), self.dtype)
 
@@ -81,7 +88,7 @@ def _encode(vocabulary: str, end_id: int):
         model, task, queued = encoder(vocabulary), TaskContext.get().partitionId(), {}
         for batch in batches:
             docs, sources, texts = (batch.column(n) for n in ("doc_id", "source", "text"))
-            lengths = texts.fill_null("").to_pandas().str.len()
+            lengths = pc.utf8_length(texts).fill_null(0).to_pylist()
             for begin, end in groups_of(lengths, _CHARS_AT_ONCE):
                 names = sources.slice(begin, end - begin).to_pylist()
                 ids = [np.append(model.ids(t.as_py() or ""), model.dtype.type(end_id)) for t in texts.slice(begin, end - begin)]

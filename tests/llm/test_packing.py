@@ -21,6 +21,7 @@ def test_ids_are_those_of_tokenizers(text):
 
 def test_special_strings_and_long_words():
     model = packing.encoder(packing.VOCABULARY)
+    assert [t.content for t in model.exact.get_added_tokens_decoder().values()] == list(packing.SPECIAL)
     for text in ("a <|endoftext|> b", "x" * 50_000, " " * 3000 + "\n" * 10):
         assert model.ids(text).tolist() == model.exact.encode(text, add_special_tokens=False).ids
 
