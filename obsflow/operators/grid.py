@@ -48,20 +48,23 @@ def empty_cells(
 ) -> DataFrame:
     """Cells of the grid ``[low, high)`` x ``[low, high)`` that hold no row.
 
-    The grid is built from its two axes; its size follows from the ranges, not
-    from the data.
+    The grid is numbered cell by cell, so its rows spread over all tasks; its
+    size follows from the ranges, not from the data.
     """
 
-    def axis(low: float, high: float) -> Column:
-        steps = F.sequence(F.lit(0), F.lit(round((high - low) / size) - 1))
-        return F.transform(steps, lambda i: i * F.lit(float(size)) + F.lit(float(low)))
+    # Edges are compared as whole numbers of cells: the same edge may differ in its last bit.
+    def first(low: float) -> int:
+        return round(low / size)
 
-    grid = (
-        cells.sparkSession.range(1)
-        .select(F.explode(axis(*x_range)).alias(x_bin))
-        .withColumn(y_bin, F.explode(axis(*y_range)))
+    wide, high = (round((r[1] - r[0]) / size) for r in (x_range, y_range))
+    number = F.col("id")
+    grid = cells.sparkSession.range(wide * high).select(
+        (F.floor(number / high) + first(x_range[0])).alias("_x"), (number % high + first(y_range[0])).alias("_y")
+    )
+    held = cells.select(F.round(F.col(x_bin) / size).cast("bigint").alias("_x"), F.round(F.col(y_bin) / size).cast("bigint").alias("_y"))
+    return grid.join(held, ["_x", "_y"], "left_anti").select(
+        (F.col("_x").cast("double") * size).alias(x_bin), (F.col("_y").cast("double") * size).alias(y_bin)
     )
-    return grid.join(cells.select(x_bin, y_bin), [x_bin, y_bin], "left_anti")
 
 
 def busiest_cells(cells: DataFrame, n: int, count: str = "nb_obs") -> DataFrame:

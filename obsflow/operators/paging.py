@@ -19,6 +19,10 @@ class Page:
     limit: int
     offset: int
 
+    def __post_init__(self):
+        if not 1 <= self.limit <= LARGEST_PAGE or self.offset < 0:
+            raise ValueError(f"a page has 1 to {LARGEST_PAGE} rows from an offset of at least 0")
+
     @classmethod
     def of(cls, limit: object = None, offset: object = None) -> Page:
         def whole(value: object, default: int) -> int:
@@ -28,7 +32,7 @@ class Page:
                 return default
 
         return cls(
-            limit=sorted((1, whole(limit, DEFAULT_PAGE), LARGEST_PAGE))[1],
+            limit=min(max(1, whole(limit, DEFAULT_PAGE)), LARGEST_PAGE),
             offset=max(0, whole(offset, 0)),
         )
 

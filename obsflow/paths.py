@@ -25,3 +25,9 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     system, target = _on_file_system(spark, path)
     system.delete(target, True)
+
+
+def siblings(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Paths beside this one whose names go on with the suffix, a glob pattern."""
+    system, pattern = _on_file_system(spark, path.rstrip("/") + suffix)
+    return [status.getPath().toString() for status in system.globStatus(pattern) or []]

@@ -20,7 +20,7 @@ from obsflow.sinks.catalog import publish, register
 from obsflow.sinks.files import replace_parquet, replace_partitions, write_parquet
 from obsflow.sinks.jdbc import write_database
 from obsflow.sources.archive_csv import read_export
-from obsflow.sources.feeds import payload_events, read_payloads
+from obsflow.sources.feeds import LANDED, payload_events, read_payloads
 from obsflow.sources.reports import parse_reports, read_reports, report_events, report_rejects
 from obsflow.sources.tables import catalog_table, has_rows, read_or_empty, read_table
 
@@ -145,19 +145,19 @@ def backfill(
 ) -> int:
     """B2: archive reports of a span of years into bronze; no parsed line, no write there.
 
-    The rejected lines of the run are kept beside it.
+    The rejected lines of these years are kept beside it; those of other years stay.
     """
     parsed = parse_reports(read_reports(spark, folder, first_year, last_year))
     at = run_time() if ingested_at is None else ingested_at
-    write_parquet(report_rejects(parsed, at), layout.report_rejects)
+    replace_partitions(report_rejects(parsed, at), layout.report_rejects, ["year"])
     return merge_events(spark, layout, report_events(parsed, at))
 
 
 def ingest_live(
     spark: SparkSession, layout: Layout, landing: str, ingested_at: Column | None = None
 ) -> int:
-    """Landed feed payloads into bronze."""
-    at = run_time() if ingested_at is None else ingested_at
+    """Landed feed payloads into bronze; of two versions the one that landed last wins."""
+    at = F.col(LANDED) if ingested_at is None else ingested_at
     return merge_events(spark, layout, payload_events(read_payloads(spark, landing), at))
 
 

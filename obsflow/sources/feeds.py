@@ -9,11 +9,12 @@ from obsflow.functions.times import parse_iso
 from obsflow.schemas import FEED_TIME_KEYS
 
 # Landing layout: <landing>/<endpoint>/<any name>; the folder names the feed.
+LANDED = "landed_at"
 _ENDPOINT_FOLDER = r"([^/]+)/[^/]+$"
 
 
 def read_payloads(spark: SparkSession, landing: str) -> DataFrame:
-    """Landed payload files as ``endpoint, value``."""
+    """Landed payload files as ``endpoint, value`` and the time each landed."""
     files = spark.read.text(f"{landing}/*/*", wholetext=True)
     return with_endpoint(files)
 
@@ -29,18 +30,25 @@ def stream_payloads(spark: SparkSession, landing: str, files_per_batch: int = 10
 
 def with_endpoint(files: DataFrame) -> DataFrame:
     endpoint = F.regexp_extract(F.col("_metadata.file_path"), _ENDPOINT_FOLDER, 1)
-    return files.select(endpoint.alias("endpoint"), "value")
+    return files.select(
+        endpoint.alias("endpoint"), "value", F.col("_metadata.file_modification_time").alias(LANDED)
+    )
 
 
 def payload_events(payloads: DataFrame, ingested_at: Column) -> DataFrame:
     """Payload arrays to event envelopes.
 
+    ``ingested_at`` is a literal or a column of the payloads, such as the time
+    they landed: of two payloads with the same event the later one is newer.
+
     A payload that is not a JSON array gives no rows and does not stop the
     others; elements without a readable time are dropped.
     """
     known = payloads.filter(F.col("endpoint").isin(*FEED_TIME_KEYS))
     elements = known.select(
-        "endpoint", F.explode(F.from_json("value", "array<string>")).alias("record")
+        "endpoint",
+        ingested_at.alias("ingested_at"),
+        F.explode(F.from_json("value", "array<string>")).alias("record"),
     )
     time_text = F.lit(None).cast("string")
     for key in sorted(set(FEED_TIME_KEYS.values())):
@@ -50,6 +58,4 @@ def payload_events(payloads: DataFrame, ingested_at: Column) -> DataFrame:
     # The generator drops a null time and reads each record once, where a filter
     # behind a projection would read it twice.
     times = F.array_compact(F.array(parse_iso(time_text)))
-    return elements.select("endpoint", F.explode(times).alias("event_time"), "record").withColumn(
-        "ingested_at", ingested_at
-    )
+    return elements.select("endpoint", F.explode(times).alias("event_time"), "record", "ingested_at")

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from obsflow.paths import path_exists
+from obsflow.paths import path_exists, siblings
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet with a fixed schema; an absent path is an empty table."""
+    """Parquet with a fixed schema; an absent path is an empty table.
+
+    A table that is just being replaced, or whose replacement broke off, is not
+    absent: its old rows lie in a sibling folder, and reading it is an error.
+    """
     if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
+    if siblings(spark, path, ".previous-*"):
+        raise FileNotFoundError(f"{path} is being replaced; its rows are in {siblings(spark, path, '.previous-*')[0]}")
     return spark.createDataFrame([], schema)
 
 

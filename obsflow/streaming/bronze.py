@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obsflow.plans.jobs import (
@@ -14,7 +15,7 @@ from obsflow.plans.jobs import (
     refresh_flares,
     run_time,
 )
-from obsflow.sources.feeds import payload_events
+from obsflow.sources.feeds import LANDED, payload_events
 
 
 def start_bronze(
@@ -32,7 +33,8 @@ def start_bronze(
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        merge_events(batch.sparkSession, layout, payload_events(batch, run_time()))
+        at = F.col(LANDED) if LANDED in batch.columns else run_time()
+        merge_events(batch.sparkSession, layout, payload_events(batch, at))
         if after_batch:
             after_batch(batch_id)
 

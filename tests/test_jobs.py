@@ -1,6 +1,8 @@
 """B1-B12 and T1-T5 end to end on hand-made input."""
 
+import glob
 import json
+import os
 import random
 from datetime import date, datetime
 
@@ -218,7 +220,40 @@ def test_t2_t4_streams_over_several_batches(spark, tmp_path):
         start_overlaps(
             stream, table, ("f", "t"), ("o_from", "o_to"), str(tmp_path / "pairs"), str(tmp_path / "c2")
         ).awaitTermination()
-    latest = read_latest(spark, str(tmp_path / "latest"), ["k"])
+    latest = read_latest(spark, str(tmp_path / "latest"), ["k"], "f", ["id"])
     assert rows(latest.select("k", "id"), "k") == [("k0", 22), ("k1", 21)]
     pairs = read_overlaps(spark, str(tmp_path / "pairs")).select("obs", "id")
     assert sorted(rows(pairs)) == sorted(expected)
+
+
+def test_a_later_payload_wins_whatever_its_text(spark, inputs):
+    _, _, landing, layout = inputs
+    begin = "2024-05-01T00:00:00Z"
+    for name, worst, landed in (("1.json", "M2.5", 1_700_000_000), ("2.json", "M1.0", 1_700_000_600)):
+        land(landing, name, [{"begin_time": begin, "xray_class": worst}])
+        for path in glob.glob(f"{landing}/*/{name}"):
+            os.utime(path, (landed, landed))
+    for _ in range(2):
+        jobs.ingest_live(spark, layout, str(landing))
+        assert [json.loads(r["record"])["xray_class"] for r in jobs.read_events(spark, layout).collect()] == ["M1.0"]
+
+
+def test_rejects_of_other_years_stay(spark, inputs):
+    _, reports, _, layout = inputs
+    for year in (2015, 2016):
+        with open(f"{reports}/report-{year}.txt", "w") as lines:
+            lines.write(f"31777{year % 100}0101  not a flare line at all\n")
+    for year in (2015, 2016, 2016):
+        jobs.backfill(spark, layout, str(reports), year, year)
+    kept = spark.read.parquet(layout.report_rejects).groupBy("year").count().collect()
+    assert {r["year"] for r in kept} == {2015, 2016}
+
+
+def test_a_table_in_the_middle_of_a_swap_is_no_empty_table(spark, tmp_path):
+    from obsflow.sources.tables import read_or_empty
+
+    path, schema = str(tmp_path / "t"), spark.range(1).schema
+    assert read_or_empty(spark, path, schema).isEmpty()
+    spark.range(3).write.parquet(f"{path}.previous-abc")
+    with pytest.raises(FileNotFoundError):
+        read_or_empty(spark, path, schema)

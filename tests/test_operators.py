@@ -135,3 +135,10 @@ def test_k7_first_reason_wins(spark):
     marked = rejects.with_reason(df, {"no a": F.col("a").isNull(), "small a": F.col("a") < 3})
     assert rows(rejects.valid(marked)) == [(5, 5)]
     assert sorted(r[2] for r in rows(rejects.rejected(marked))) == ["no a", "small a"]
+
+
+def test_r6_blind_spots_of_a_tenth_of_a_degree(spark):
+    points = spark.createDataFrame([(0.35, 0.15, 1.0)], "x double, y double, w double")
+    cells = grid.grid_aggregate(points, "x", "y", "w", 0.1)
+    empty = grid.empty_cells(cells, "ra_bin", "dec_bin", (0.0, 2.0), (-0.5, 0.5), 0.1)
+    assert empty.count() == 199

@@ -25,15 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in times})
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The table over all cores, if it comes in fewer splits than there are cores.
-
-    A table of cluster size has more splits than cores and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 _STORED: dict[tuple[str, ...], str] = {}
 
 
@@ -124,7 +115,7 @@ _RAW_INPUT = (
 
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An all-text observation table with a row per lineitem."""
-    lines = spread(table(spark, sf_dir, "lineitem").select(*_RAW_INPUT)).withColumn("day", F.unix_date(F.to_date("l_shipdate")))
+    lines = table(spark, sf_dir, "lineitem").select(*_RAW_INPUT).withColumn("day", F.unix_date(F.to_date("l_shipdate")))
     return lines.selectExpr(
         *(
             f"{_RAW.get(name, 'CAST(NULL AS STRING)')} AS {name}"
@@ -151,7 +142,7 @@ _CLASS = f"""CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 29 = 0 TH
 
 def flare_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event envelopes with a row per order; starts repeat, so versions compete."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     start = F.col("o_orderdate") + F.expr(
         "make_dt_interval(0, int((o_orderkey % 48) div 2), int((o_orderkey % 2) * 30))"
     )

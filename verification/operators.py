@@ -11,7 +11,7 @@ from obsflow.operators.paging import Page, page_of
 from obsflow.schemas import FLARE_RECORD
 from obsflow.sources import feeds, reports
 from verification import query
-from verification.inputs import pick, plain, rounded, spread, table
+from verification.inputs import pick, plain, rounded, table
 
 # ---------------------------------------------------------------- cleaning
 
@@ -320,7 +320,7 @@ def report_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(table(spark, sf_dir, "events")).select(
+    events = table(spark, sf_dir, "events").select(
         "event_id", "user_id", F.year("ts").alias("year"),
         F.date_format("ts", "yyMMdd").alias("ymd"), F.date_format("ts", "HHmm").alias("hhmm"),
     )
@@ -370,7 +370,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     parts = [element(0), element(1), F.lit("{}"), F.lit('{"time_tag":"x","begin_time":""}'), F.lit("7")]
     array = F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         F.expr("CASE WHEN event_id % 2 = 0 THEN 'kp_index' ELSE 'solar_flares' END AS endpoint"),
         F.when(F.expr("event_id % 10 = 3"), F.lit("<html>")).otherwise(array).alias("value"),
     )
@@ -387,7 +387,7 @@ errors AS (SELECT event_id AS error_id, ts AS error_start, ts + INTERVAL 1 HOUR
 
 def spans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Views lasting ``value`` minutes, and errors lasting an hour."""
-    events = spread(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     length = F.round(F.col("value") * 60 * 1_000_000).cast("bigint")
     views = events.filter("event_type = 'view'").select(
         F.col("event_id").alias("view_id"), F.col("ts").alias("view_start"),
@@ -509,41 +509,41 @@ def monthly_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(trends.monthly_mean(lines, "l_returnflag", "l_shipdate", "l_quantity", "mean_qty"))
 
 
-# Months before half a year of every key are left out, so that rows and calendar differ.
-_GAPS = """monthly AS (SELECT l_returnflag, CAST(date_trunc('month', l_shipdate) AS DATE) AS m,
-    avg(l_quantity) AS mean_qty FROM lineitem WHERE month(l_shipdate) <> 5 OR year(l_shipdate) % 2 = 0
+# Parts are not shipped every month, so rows and calendar differ.
+_GAPS = """monthly AS (SELECT l_partkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS m,
+    avg(l_quantity) AS mean_qty FROM lineitem
   GROUP BY ALL)"""
 
 
 def _monthly_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").filter("month(l_shipdate) <> 5 OR year(l_shipdate) % 2 = 0")
-    return trends.monthly_mean(lines, "l_returnflag", "l_shipdate", "l_quantity", "mean_qty")
+    lines = table(spark, sf_dir, "lineitem")
+    return trends.monthly_mean(lines, "l_partkey", "l_shipdate", "l_quantity", "mean_qty")
 
 
 @query(
     "monthly_lag",
-    f"""WITH {_GAPS} SELECT l_returnflag, CAST(m AS VARCHAR) AS year_month, {rounded('mean_qty', 4)} AS mean_qty,
-      {rounded('mean_qty - lag(mean_qty, 12) OVER (PARTITION BY l_returnflag ORDER BY m)', 4)} AS trend FROM monthly""",
+    f"""WITH {_GAPS} SELECT l_partkey, CAST(m AS VARCHAR) AS year_month, {rounded('mean_qty', 4)} AS mean_qty,
+      {rounded('mean_qty - lag(mean_qty, 12) OVER (PARTITION BY l_partkey ORDER BY m)', 4)} AS trend FROM monthly""",
 )
 def monthly_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve rows back."""
     monthly = _monthly_with_gaps(spark, sf_dir)
     return plain(
-        trends.lag_difference(monthly, "l_returnflag", ["year_month"], "mean_qty", 12, "trend")
+        trends.lag_difference(monthly, "l_partkey", ["year_month"], "mean_qty", 12, "trend")
     )
 
 
 @query(
     "monthly_lag_calendar",
-    f"""WITH {_GAPS} SELECT a.l_returnflag, CAST(a.m AS VARCHAR) AS year_month, {rounded('a.mean_qty', 4)} AS mean_qty,
+    f"""WITH {_GAPS} SELECT a.l_partkey, CAST(a.m AS VARCHAR) AS year_month, {rounded('a.mean_qty', 4)} AS mean_qty,
       {rounded('a.mean_qty - b.mean_qty', 4)} AS trend
-    FROM monthly a LEFT JOIN monthly b ON a.l_returnflag = b.l_returnflag AND b.m = a.m - INTERVAL 12 MONTH""",
+    FROM monthly a LEFT JOIN monthly b ON a.l_partkey = b.l_partkey AND b.m = a.m - INTERVAL 12 MONTH""",
 )
 def monthly_lag_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W3 by the calendar: twelve months back."""
     monthly = _monthly_with_gaps(spark, sf_dir)
     return plain(
-        trends.calendar_difference(monthly, "l_returnflag", "year_month", "mean_qty", 12, "trend")
+        trends.calendar_difference(monthly, "l_partkey", "year_month", "mean_qty", 12, "trend")
     )
 
 
