@@ -236,7 +236,29 @@ def near_duplicates(
     return known.union(alone)
 
 
-@query("op1_embedding_near_dedup")
+_SQL = f"""
+WITH RECURSIVE rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e,
+    vec_id IS NOT NULL AND coalesce(len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0, FALSE) AS usable
+  FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM rows a JOIN rows b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.usable AND b.usable AND list_cosine_similarity(a.e, b.e) >= {THRESHOLD}
+), reached AS (
+  SELECT vec_id AS id, vec_id AS other FROM rows
+  UNION
+  SELECT links.b, other FROM reached JOIN links ON links.a = id
+), found AS (
+  SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+    (SELECT min(other) FROM reached WHERE id = vec_id) AS component_id
+  FROM rows
+)
+SELECT *, coalesce(vec_id = component_id, FALSE) AS kept FROM found
+"""
+
+
+@query("op1_embedding_near_dedup", _SQL)
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import arrow_map, documents, groups_of, int64, mixed, record_batch, staged
+from obsflow.llm.common import WORD, arrow_map, documents, groups_of, int64, mixed, record_batch, staged
 from obsflow.llm.registry import query
 
 WINDOW = 13
@@ -404,7 +404,6 @@ def repeated_windows(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFra
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
     blobs = arrow_map(docs, _gather(shards, "blobs"), "shard int, contents binary, numbers binary, size bigint")
-    # A third of a billion of stretches is a few GB; a task takes one shard at a time.
     dealt = blobs.repartition("shard").sortWithinPartitions("shard")
     verdicts = staged(
         arrow_map(
@@ -474,7 +473,29 @@ def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFram
     return arrow_map(joined, _remove, "doc_id bigint, n_words bigint, n_removed bigint, kept binary")
 
 
-@query("op3_substring_dedup")
+_SQL = f"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS window_text
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM split WHERE len(words) >= {WINDOW})
+), found AS (
+  SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY window_text) < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS place FROM found
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split
+), kept AS (
+  SELECT p.doc_id, count(*) FILTER (g.place IS NOT NULL) AS n_removed,
+    string_agg(word, ' ' ORDER BY p.place) FILTER (g.place IS NULL) AS kept
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op3_substring_dedup", _SQL)
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
