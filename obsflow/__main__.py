@@ -7,7 +7,7 @@ import argparse
 from obsflow.operators import paging
 from obsflow.plans import jobs
 from obsflow.session import build_session
-from obsflow.sources.jdbc import Split, read_database
+from obsflow.sources.jdbc import HashSplit, Split, read_database
 
 
 def _arguments() -> argparse.Namespace:
@@ -17,6 +17,7 @@ def _arguments() -> argparse.Namespace:
 
     raw = job.add_parser("load-raw", help="load the observation export")
     raw.add_argument("--csv", required=True)
+    raw.add_argument("--no-embedded-newlines", action="store_true", help="split large files over tasks")
 
     backfill = job.add_parser("backfill", help="archive reports into bronze")
     live = job.add_parser("ingest", help="landed payloads into bronze")
@@ -28,13 +29,16 @@ def _arguments() -> argparse.Namespace:
         p.add_argument("--end-year", type=int, default=last)
     for p in (live, tick):
         p.add_argument("--landing", required=True)
+    for p in (full, tick):
+        p.add_argument("--dsn", help="copy refreshed gold tables into this database")
+        p.add_argument("--target-schema", default="public")
 
     observations = job.add_parser("observations", help="silver observations")
     observations.add_argument("--dsn", help="read the raw table from this database")
     observations.add_argument("--source-table", default="public.observations")
-    observations.add_argument("--split-column")
-    observations.add_argument("--split-range", type=int, nargs=2, default=(0, 0))
-    observations.add_argument("--split-count", type=int, default=1)
+    observations.add_argument("--split-column", help="scan in parallel, by hash of this column")
+    observations.add_argument("--split-range", type=int, nargs=2, help="by ranges of it instead")
+    observations.add_argument("--split-count", type=int, default=16)
 
     job.add_parser("flares", help="silver flares")
     gold = job.add_parser("gold", help="one gold table")
@@ -56,7 +60,7 @@ def main() -> None:
     spark = build_session(f"obsflow-{args.job}")
     layout = jobs.Layout(args.root.rstrip("/"))
     if args.job == "load-raw":
-        done = jobs.load_raw(spark, layout, args.csv)
+        done = jobs.load_raw(spark, layout, args.csv, not args.no_embedded_newlines)
     elif args.job == "backfill":
         done = jobs.backfill(spark, layout, args.reports, args.start_year, args.end_year)
     elif args.job == "ingest":
@@ -65,8 +69,10 @@ def main() -> None:
         raw = None
         if args.dsn:
             split = None
-            if args.split_column:
+            if args.split_column and args.split_range:
                 split = Split(args.split_column, *args.split_range, args.split_count)
+            elif args.split_column:
+                split = HashSplit(args.split_column, args.split_count)
             raw = read_database(spark, args.dsn, args.source_table, split)
         done = jobs.refresh_observations(spark, layout, raw)
     elif args.job == "flares":
@@ -74,17 +80,26 @@ def main() -> None:
     elif args.job == "gold":
         done = jobs.refresh_gold(spark, layout, args.name)
     elif args.job == "serve":
-        done = jobs.serve(spark, args.name, args.dsn, args.target_table)
+        done = jobs.serve(spark, layout, args.name, args.dsn, args.target_table)
     elif args.job == "refresh-all":
-        done = jobs.refresh_all(spark, layout, args.reports, args.start_year, args.end_year)
+        done = jobs.refresh_all(
+            spark, layout, args.reports, args.start_year, args.end_year, after_gold=_server(spark, layout, args)
+        )
     elif args.job == "refresh":
-        done = jobs.refresh_incremental(spark, layout, args.landing)
+        done = jobs.refresh_incremental(spark, layout, args.landing, _server(spark, layout, args))
     else:
         done = _page(spark, layout, args)
     print(done, flush=True)
     spark.stop()
 
 
+def _server(spark, layout: jobs.Layout, args: argparse.Namespace):
+    """What copies a refreshed gold table into the database, if one is named."""
+    if args.dsn:
+        return lambda name: jobs.serve(spark, layout, name, args.dsn, f"{args.target_schema}.{name}")
+    return None
+
+
 def _page(spark, layout: jobs.Layout, args: argparse.Namespace) -> str:
     table = spark.read.parquet(layout.gold(args.name))
     page = paging.Page.of(args.limit, args.offset)

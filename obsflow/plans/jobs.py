@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -13,20 +14,27 @@ from pyspark.sql import types as T
 
 from obsflow import paths
 from obsflow.operators.latest import merge_latest
-from obsflow.operators.rejects import REASON, rejected
+from obsflow.operators.rejects import REASON, rejected, valid
 from obsflow.plans import gold, silver
 from obsflow.schemas import EVENT_ENVELOPE, FLARE, OBSERVATION, RAW_OBSERVATION
 from obsflow.sinks.catalog import publish, register
-from obsflow.sinks.files import replace_parquet, replace_partitions, write_parquet
+from obsflow.sinks.files import recover, replace_parquet, replace_partitions, write_parquet
 from obsflow.sinks.jdbc import write_database
 from obsflow.sources.archive_csv import read_export
-from obsflow.sources.feeds import LANDED, payload_events, read_payloads
-from obsflow.sources.reports import parse_reports, read_reports, report_events, report_rejects
-from obsflow.sources.tables import catalog_table, has_rows, read_or_empty, read_table
+from obsflow.sources.feeds import LANDED, parse_payloads, read_payloads, stream_payloads
+from obsflow.sources.reports import parse_reports, read_reports, report_counts, report_events, report_rejects
+from obsflow.sources.tables import catalog_table, has_rows, read_or_empty, read_parquet, read_required
 
 EVENT_KEY = ("endpoint", "event_time")
 EVENT_PARTITION = ("endpoint", "event_date")
 _DATED_ENVELOPE = T.StructType([*EVENT_ENVELOPE.fields, T.StructField("event_date", T.DateType())])
+_CHANGED = T.StructType([T.StructField("event_date", T.DateType())])
+
+FLARE_PARTITION = ("status", "flare_date")
+_TYPED_FLARE = T.StructType(
+    [*FLARE.fields, T.StructField(REASON, T.StringType()), T.StructField("flare_date", T.DateType())]
+)
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 GOLD = ("contaminated_obs", "narrow_band_targets", "instrument_calibration", "sky_coverage")
 
@@ -63,12 +71,35 @@ class Layout:
         return f"{self.observations_all}/status=rejected"
 
     @property
-    def flares(self) -> str:
+    def report_counts(self) -> str:
+        return f"{self.root}/bronze/report_counts"
+
+    @property
+    def feed_rejects(self) -> str:
+        return f"{self.root}/bronze/feed_rejects"
+
+    @property
+    def changed_days(self) -> str:
+        """The days of bronze that were merged into since silver flares were last refreshed."""
+        return f"{self.root}/bronze/changed_days"
+
+    @property
+    def landed(self) -> str:
+        """The checkpoint that says which landed files are in bronze."""
+        return f"{self.root}/bronze/landed_files"
+
+    @property
+    def flares_all(self) -> str:
+        """Valid and rejected rows by day of their bronze event, written in one pass."""
         return f"{self.root}/silver/flares"
 
+    @property
+    def flares(self) -> str:
+        return f"{self.flares_all}/status=valid"
+
     @property
     def flare_rejects(self) -> str:
-        return f"{self.root}/silver/flare_rejects"
+        return f"{self.flares_all}/status=rejected"
 
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
@@ -83,18 +114,31 @@ class Layout:
         return f"{self.root}/work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def _worked(spark: SparkSession, layout: Layout, name: str) -> Iterator[str]:
+    """A path for a table that one job run needs, deleted however the run ends."""
+    path = layout.work(name)
+    try:
+        yield path
+    finally:
+        paths.delete(spark, path)
+
+
 def run_time() -> Column:
     """The time a run started: one literal for all of its rows."""
     return F.lit(datetime.now(timezone.utc)).cast("timestamp")
 
 
-def load_raw(spark: SparkSession, layout: Layout, csv: str) -> int:
+def load_raw(
+    spark: SparkSession, layout: Layout, csv: str, embedded_newlines: bool = True
+) -> int:
     """B1: load the export once; nothing happens without a file or with rows in place."""
     if not paths.path_exists(spark, csv):
         return 0
     if has_rows(read_or_empty(spark, layout.raw, RAW_OBSERVATION)):
         return 0
-    return write_parquet(read_export(spark, csv), layout.raw)
+    export = read_export(spark, csv, embedded_newlines=embedded_newlines)
+    return write_parquet(export, layout.raw)
 
 
 def read_events(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -112,27 +156,29 @@ def merge_events(
 
     The events are written once at first, so that their parsing is not repeated
     by the steps that follow; without any, bronze stays as it is. Only the days
-    that occur in them are read and rewritten: the range of days prunes the
-    scan, and the list of days, as long as the calendar at most, is broadcast.
+    that occur in them are read and rewritten. A day is noted as changed before
+    it is, so that ``refresh_changed_flares`` finds it even if the run breaks off.
     """
-    work = layout.work("events")
     dated = events.withColumn("event_date", F.to_date("event_time"))
-    rows = 0
-    if write_parquet(dated, work):
+    with _worked(spark, layout, "events") as work:
+        if not write_parquet(dated, work):
+            return 0
         new = spark.read.schema(_DATED_ENVELOPE).parquet(work)
-        first, last = new.agg(F.min("event_date"), F.max("event_date")).first()
-        days = F.broadcast(new.select(*EVENT_PARTITION).distinct())
-        existing = (
-            read_events(spark, layout)
-            .filter(F.col("event_date").between(F.lit(first), F.lit(last)))
-            .join(days, list(EVENT_PARTITION), "left_semi")
-        )
+        days = new.select(*EVENT_PARTITION).distinct()
+        days.select("event_date").distinct().coalesce(1).write.mode("append").parquet(layout.changed_days)
+        existing = _of_days(read_events(spark, layout), days, EVENT_PARTITION)
         merged = merge_latest(
             existing, new, (*keys, "event_date"), "ingested_at", ties=("record",)
         )
-        rows = replace_partitions(merged, layout.bronze, EVENT_PARTITION)
-    paths.delete(spark, work)
-    return rows
+        return replace_partitions(merged, layout.bronze, EVENT_PARTITION)
+
+
+def _of_days(events: DataFrame, days: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The events of some days: their range prunes the scan, their list, no longer than
+    the calendar times the handful of feeds, is broadcast."""
+    first, last = days.agg(F.min("event_date"), F.max("event_date")).first()
+    in_range = events.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
+    return in_range.join(F.broadcast(days.select(*keys).distinct()), list(keys), "left_semi")
 
 
 def backfill(
@@ -145,20 +191,65 @@ def backfill(
 ) -> int:
     """B2: archive reports of a span of years into bronze; no parsed line, no write there.
 
-    The rejected lines of these years are kept beside it; those of other years stay.
+    The rejected lines of these years and the numbers of parsed and skipped
+    lines are kept beside it; those of other years stay. The reports are parsed
+    once.
     """
-    parsed = parse_reports(read_reports(spark, folder, first_year, last_year))
     at = run_time() if ingested_at is None else ingested_at
-    replace_partitions(report_rejects(parsed, at), layout.report_rejects, ["year"])
-    return merge_events(spark, layout, report_events(parsed, at))
+    with _worked(spark, layout, "report_lines") as work:
+        if not write_parquet(parse_reports(read_reports(spark, folder, first_year, last_year)), work):
+            return 0
+        parsed = spark.read.parquet(work)
+        replace_partitions(report_rejects(parsed, at), layout.report_rejects, ["year"])
+        replace_partitions(report_counts(parsed), layout.report_counts, ["year"])
+        return merge_events(spark, layout, report_events(parsed, at))
 
 
 def ingest_live(
     spark: SparkSession, layout: Layout, landing: str, ingested_at: Column | None = None
 ) -> int:
-    """Landed feed payloads into bronze; of two versions the one that landed last wins."""
-    at = F.col(LANDED) if ingested_at is None else ingested_at
-    return merge_events(spark, layout, payload_events(read_payloads(spark, landing), at))
+    """All landed feed payloads into bronze; of two versions the one that landed last wins."""
+    return merge_payloads(spark, layout, read_payloads(spark, landing), ingested_at)
+
+
+def merge_payloads(
+    spark: SparkSession, layout: Layout, payloads: DataFrame, ingested_at: Column | None = None
+) -> int:
+    """Payloads into bronze, and what is rejected of them beside it.
+
+    Without ``ingested_at`` events are as old as their file, or as this run
+    where the payloads name no file. Payloads that come again change nothing.
+    """
+    if ingested_at is None:
+        ingested_at = F.col(LANDED) if LANDED in payloads.columns else run_time()
+    with _worked(spark, layout, "payloads") as work:
+        if not write_parquet(parse_payloads(payloads, ingested_at), work):
+            return 0
+        parsed = spark.read.parquet(work)
+        refused = rejected(parsed).drop("event_time").withColumn("landed_on", F.to_date("ingested_at"))
+        days = refused.select(F.col("landed_on").alias("event_date")).distinct()
+        if not days.isEmpty():
+            kept = read_or_empty(spark, layout.feed_rejects, refused.schema)
+            same_days = _of_days(kept.withColumn("event_date", F.col("landed_on")), days, ["event_date"])
+            both = same_days.select(refused.columns).unionByName(refused).distinct()
+            replace_partitions(both, layout.feed_rejects, ["landed_on"])
+        return merge_events(spark, layout, valid(parsed))
+
+
+def ingest_landed(spark: SparkSession, layout: Layout, landing: str) -> None:
+    """B3 for the files that landed since the last call; each is read once."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        merge_payloads(batch.sparkSession, layout, batch)
+
+    (
+        stream_payloads(spark, landing)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", layout.landed)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
 
 
 def refresh_observations(spark: SparkSession, layout: Layout, raw: DataFrame | None = None) -> int:
@@ -177,18 +268,71 @@ def refresh_observations(spark: SparkSession, layout: Layout, raw: DataFrame | N
 def refresh_flares(
     spark: SparkSession, layout: Layout, class_keys: Sequence[str] = ("xray_class",)
 ) -> int:
-    """Silver flares and their rejects."""
-    events = read_events(spark, layout)
-    replace_parquet(rejected(silver.typed_flares(events, class_keys)), layout.flare_rejects)
-    return replace_parquet(silver.flares(events, class_keys), layout.flares)
+    """Silver flares and their rejects, from all of bronze."""
+    with _worked(spark, layout, "flares") as work:
+        write_parquet(_dated_flares(read_events(spark, layout), class_keys), work)
+        made = _judged_flares(spark.read.schema(_TYPED_FLARE).parquet(work))
+        replace_parquet(made.hint("rebalance", *FLARE_PARTITION), layout.flares_all, by=FLARE_PARTITION)
+    paths.delete(spark, layout.changed_days)
+    return silver_flares(spark, layout).count()
+
+
+def refresh_changed_flares(
+    spark: SparkSession, layout: Layout, class_keys: Sequence[str] = ("xray_class",)
+) -> int:
+    """B5 after a merge: the rows of refresh_flares, with only the changed days parsed and written.
+
+    Versions of a flare meet on one day, since an event's time is the start of
+    its flare. Where a record names a start on another day the flare has no
+    date, and all of bronze is read again.
+    """
+    recover(spark, layout.flares_all)
+    undated = paths.path_exists(spark, f"{layout.flares}/flare_date={_NO_DATE}")
+    if undated or not paths.path_exists(spark, layout.flares_all):
+        return refresh_flares(spark, layout, class_keys)
+    if paths.path_exists(spark, layout.changed_days):
+        with _worked(spark, layout, "flares") as work:
+            noted = spark.read.schema(_CHANGED).parquet(layout.changed_days).distinct()
+            events = _of_days(read_events(spark, layout), noted, ["event_date"])
+            write_parquet(_dated_flares(events, class_keys), work)
+            typed = spark.read.schema(_TYPED_FLARE).parquet(work)
+            if not typed.filter("flare_date IS NULL").isEmpty():
+                return refresh_flares(spark, layout, class_keys)
+            made = _judged_flares(typed)
+            replace_partitions(made, layout.flares_all, FLARE_PARTITION)
+            # A day that has no row of a kind any more keeps no folder of it. One row per day.
+            days = {r[0] for r in noted.collect()}
+            left = {tuple(r) for r in made.select(*FLARE_PARTITION).distinct().collect()}
+            for status, day in ((s, d) for s in ("valid", "rejected") for d in days):
+                if (status, day) not in left:
+                    paths.delete(spark, f"{layout.flares_all}/status={status}/flare_date={day}")
+        spark.catalog.refreshByPath(layout.flares_all)
+        paths.delete(spark, layout.changed_days)
+    return silver_flares(spark, layout).count()
+
+
+def _dated_flares(events: DataFrame, class_keys: Sequence[str]) -> DataFrame:
+    """Typed flares with the day of their event, null for valid ones that start on another day."""
+    typed = silver.typed_flares(events, class_keys, keep=["event_date"])
+    dated = F.col(REASON).isNotNull() | (F.to_date("event_start") == F.col("event_date"))
+    return typed.withColumn("flare_date", F.when(dated, F.col("event_date"))).drop("event_date")
+
+
+def _judged_flares(typed: DataFrame) -> DataFrame:
+    """The newest valid versions and the rejected rows, marked as such."""
+    newest = silver.newest_flares(valid(typed)).withColumn(REASON, F.lit(None).cast("string"))
+    kinds = newest.withColumn("status", F.lit("valid")), rejected(typed).withColumn("status", F.lit("rejected"))
+    return kinds[0].unionByName(kinds[1])
 
 
 def silver_observations(spark: SparkSession, layout: Layout) -> DataFrame:
+    read_required(spark, layout.observations_all, OBSERVATION)
     return read_or_empty(spark, layout.observations, OBSERVATION)
 
 
 def silver_flares(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_or_empty(spark, layout.flares, FLARE)
+    read_required(spark, layout.flares_all, FLARE)
+    return read_or_empty(spark, layout.flares, FLARE).select(FLARE.fieldNames())
 
 
 def scored_flares(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -227,23 +371,23 @@ def refresh_contaminated(spark: SparkSession, layout: Layout, database: str = "g
     """
     name = "contaminated_obs"
     path, table = layout.gold(name), f"{database}.{name}"
+    for target in (path, layout.contaminated_basis):
+        recover(spark, target)
     if not paths.path_exists(spark, layout.contaminated_basis):
         return refresh_gold(spark, layout, name, database)
     observations, after = silver_observations(spark, layout), scored_flares(spark, layout)
     before = spark.read.parquet(layout.contaminated_basis)
-    work = layout.work("touched")
     current = spark.read.parquet(path)
-    if write_parquet(gold.touched_obs(observations, before, after), work) == 0:
-        register(spark, table, path)
-        rows = current.count()
-    else:
+    with _worked(spark, layout, "touched") as work:
+        if write_parquet(gold.touched_obs(observations, before, after), work) == 0:
+            register(spark, table, path)
+            return current.count()
         touched = spark.read.parquet(work)
         rows = publish(
             gold.update_contaminated(current, observations, after, touched), table, path
         )
         replace_parquet(after, layout.contaminated_basis)
-    paths.delete(spark, work)
-    return rows
+        return rows
 
 
 def register_silver(spark: SparkSession, layout: Layout, database: str = "silver") -> None:
@@ -252,11 +396,13 @@ def register_silver(spark: SparkSession, layout: Layout, database: str = "silver
     catalog_table(spark, f"{database}.flares", layout.flares)
 
 
-def serve(
-    spark: SparkSession, name: str, dsn: str, table: str, database: str = "gold"
-) -> int:
-    """Copy a gold table into its serving table."""
-    return write_database(read_table(spark, f"{database}.{name}"), dsn, table)
+def serve(spark: SparkSession, layout: Layout, name: str, dsn: str, table: str) -> int:
+    """Copy a gold table into its serving table.
+
+    The table is read from its path, which any process finds, not from the
+    catalog of the one that made it.
+    """
+    return write_database(read_parquet(spark, layout.gold(name)), dsn, table)
 
 
 def refresh_all(
@@ -291,9 +437,13 @@ def refresh_incremental(
     landing: str,
     after_gold: Callable[[str], object] | None = None,
 ) -> dict[str, int]:
-    """Live payloads through bronze and silver to the contaminated observations."""
-    counts = {"events": ingest_live(spark, layout, landing)}
-    counts["flares"] = refresh_flares(spark, layout)
+    """Newly landed payloads through bronze and silver to the contaminated observations.
+
+    Each file is read once, only the days they touch are parsed and rewritten,
+    and only observations that overlap a changed flare are computed again.
+    """
+    ingest_landed(spark, layout, landing)
+    counts = {"flares": refresh_changed_flares(spark, layout)}
     counts["contaminated_obs"] = refresh_contaminated(spark, layout)
     if after_gold:
         after_gold("contaminated_obs")

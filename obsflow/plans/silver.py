@@ -53,10 +53,13 @@ def observations(raw: DataFrame) -> DataFrame:
     return valid(typed_observations(raw))
 
 
-def typed_flares(events: DataFrame, class_keys: Sequence[str] = ("xray_class",)) -> DataFrame:
+def typed_flares(
+    events: DataFrame, class_keys: Sequence[str] = ("xray_class",), keep: Sequence[str] = ()
+) -> DataFrame:
     """Flare envelopes typed, with the reason of rejected rows (K7).
 
-    ``class_keys`` are the record keys tried in turn for the flare class.
+    ``class_keys`` are the record keys tried in turn for the flare class,
+    ``keep`` names columns of the envelopes that stay.
     """
     keys = {*FLARE_RECORD.fieldNames(), *class_keys}
     schema = T.StructType([T.StructField(name, T.StringType()) for name in sorted(keys)])
@@ -82,6 +85,7 @@ def typed_flares(events: DataFrame, class_keys: Sequence[str] = ("xray_class",))
         class_letter(F.col("xray_class")).alias("xray_class_letter"),
         class_magnitude(F.col("xray_class")).alias("xray_class_magnitude"),
         "ingested_at",
+        *keep,
     )
     return with_reason(
         typed,
@@ -95,8 +99,13 @@ def typed_flares(events: DataFrame, class_keys: Sequence[str] = ("xray_class",))
 
 def flares(events: DataFrame, class_keys: Sequence[str] = ("xray_class",)) -> DataFrame:
     """The newest version of every plausible flare."""
+    return newest_flares(valid(typed_flares(events, class_keys)))
+
+
+def newest_flares(typed: DataFrame) -> DataFrame:
+    """The newest version of every flare."""
     return latest_per_key(
-        valid(typed_flares(events, class_keys)),
+        typed,
         FLARE_KEY,
         "ingested_at",
         ties=("source", "event_end", "event_max"),

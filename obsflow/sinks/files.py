@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow import paths
@@ -36,10 +36,13 @@ def replace_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
     """K2: replace a path that ``df`` may read from.
 
     The new files are complete in a sibling folder before the old ones move
-    aside, so neither a failed job nor a lost executor costs the old rows.
+    aside, so neither a failed job nor a lost executor costs the old rows. A
+    reader that comes between the two renames gets an error, no empty table
+    (see ``read_or_empty``). A table has one writer at a time.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
+    recover(spark, path)
     run = uuid.uuid4().hex[:12]
     staged, previous = f"{path}.staged-{run}", f"{path}.previous-{run}"
     rows = write_parquet(df, staged, by)
@@ -53,6 +56,16 @@ def replace_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
     return rows
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts the old rows back where a replacement broke off, and clears what it left behind."""
+    path = path.rstrip("/")
+    for previous in paths.siblings(spark, path, ".previous-*"):
+        if paths.path_exists(spark, path):
+            paths.delete(spark, previous)
+        else:
+            paths.rename(spark, previous, path)
+
+
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> int:
     """K2: replace only the partitions that occur in ``df``, which may read from ``path``.
 

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.schemas import RAW_OBSERVATION
 
+_MALFORMED, _FILE, _BLOCK = "_malformed", "_file", "_block"
+
 
 def read_export(
     spark: SparkSession,
@@ -14,20 +21,21 @@ def read_export(
     schema: T.StructType = RAW_OBSERVATION,
     embedded_newlines: bool = True,
 ) -> DataFrame:
-    """CSV bound by position; a row of another width fails the read.
+    """CSV text bound by position; a row of another width fails the read.
 
-    ``#`` lines and one header line are skipped. Spark skips ``#`` records
-    anywhere in the file, not only at its top.
+    The ``#`` lines at the top of each file and the header line below them are
+    skipped; a ``#`` further down is data like any other. Spark's reader can
+    only drop such lines wherever they stand, so the head is cut off by place,
+    in batches as they are read.
 
     A file with line breaks inside quotes has to be read as one piece. Set
     ``embedded_newlines`` to False for a large file without them: it is then
     split over many tasks.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("comment", "#")
+    columns = schema.fieldNames()
+    records = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(_MALFORMED, T.StringType())]))
+        .option("header", False)
         .option("quote", '"')
         .option("escape", '"')
         # An empty field is null and a quoted empty field is empty text, so the
@@ -35,8 +43,60 @@ def read_export(
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
         .option("multiLine", embedded_newlines)
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _MALFORMED)
         # Pruned parsing would not see the width of a row.
         .option("columnPruning", False)
         .csv(path)
     )
+    placed = records.select(
+        *columns,
+        _MALFORMED,
+        F.col("_metadata.file_path").alias(_FILE),
+        F.col("_metadata.file_block_start").alias(_BLOCK),
+    )
+    return placed.mapInArrow(_bodies(columns), schema)
+
+
+def _bodies(columns: list[str]):
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, in_head = None, False
+        for batch in batches:
+            for piece in _by_place(batch):
+                here = piece.column(_FILE)[0].as_py(), piece.column(_BLOCK)[0].as_py()
+                if here != place:
+                    place, in_head = here, here[1] == 0
+                if in_head:
+                    comments = _leading_comments(piece)
+                    in_head = comments == piece.num_rows
+                    piece = piece.slice(comments if in_head else comments + 1)
+                malformed = piece.column(_MALFORMED).drop_null()
+                if len(malformed):
+                    raise ValueError(f"Malformed record in {place[0]}: {malformed[0].as_py()[:200]!r}")
+                yield piece.select(columns)
+
+    return body
+
+
+def _by_place(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of each file, or of each part of one, in turn."""
+    if not batch.num_rows:
+        return
+    changed = [0]
+    for name in (_FILE, _BLOCK):
+        column = batch.column(name)
+        differs = pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1))
+        changed += [i.as_py() + 1 for i in pc.indices_nonzero(differs)]
+    bounds = [*sorted(set(changed)), batch.num_rows]
+    for begin, end in zip(bounds, bounds[1:]):
+        yield batch.slice(begin, end - begin)
+
+
+def _leading_comments(piece: pa.RecordBatch) -> int:
+    """How many of the first records are ``#`` lines."""
+    for number, text in enumerate(piece.column(0)):
+        if not (text.as_py() or "").startswith("#"):
+            return number
+        if "\n" in (piece.column(_MALFORMED)[number].as_py() or ""):
+            raise ValueError("Malformed comment: it opens a quote that it does not close")
+    return piece.num_rows

@@ -28,7 +28,7 @@ def connection(dsn: str) -> tuple[str, dict[str, str]]:
 
 @dataclass(frozen=True)
 class Split:
-    """How to cut a table scan into parallel range queries on one column."""
+    """How to cut a table scan into parallel range queries on a number, date or timestamp."""
 
     column: str
     lower: int
@@ -36,13 +36,29 @@ class Split:
     partitions: int
 
 
+@dataclass(frozen=True)
+class HashSplit:
+    """How to cut a table scan into parallel queries on any column, text included."""
+
+    column: str
+    partitions: int
+
+    def predicates(self) -> list[str]:
+        """One condition per query; each row meets exactly one of them, null the first."""
+        share = f"mod(abs(CAST(hashtext(CAST({self.column} AS text)) AS bigint)), {self.partitions})"
+        first, *others = (f"{share} = {i}" for i in range(self.partitions))
+        return [f"{first} OR {self.column} IS NULL", *others]
+
+
 def read_database(
-    spark: SparkSession, dsn: str, table: str, split: Split | None = None
+    spark: SparkSession, dsn: str, table: str, split: Split | HashSplit | None = None
 ) -> DataFrame:
-    """S3: a table, by parallel range queries when a split is given, else by one task."""
+    """S3: a table, by parallel queries when a split is given, else by one task."""
     url, properties = connection(dsn)
     if split is None:
         return spark.read.jdbc(url, table, properties=properties)
+    if isinstance(split, HashSplit):
+        return spark.read.jdbc(url, table, predicates=split.predicates(), properties=properties)
     return spark.read.jdbc(
         url,
         table,

@@ -21,6 +21,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
+def read_required(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S4 for a table that an earlier job has to have written, with or without rows."""
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"{path} has not been written yet")
+    return read_or_empty(spark, path, schema)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet with the schema of its footers."""
     return spark.read.parquet(path)
@@ -36,6 +43,8 @@ def catalog_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     ensure_database(spark, name)
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source="parquet")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
     return read_table(spark, name)
 
 

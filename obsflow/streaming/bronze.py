@@ -5,17 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from obsflow.plans.jobs import (
-    Layout,
-    merge_events,
-    refresh_contaminated,
-    refresh_flares,
-    run_time,
-)
-from obsflow.sources.feeds import LANDED, payload_events
+from obsflow.plans.jobs import Layout, merge_payloads, refresh_changed_flares, refresh_contaminated
 
 
 def start_bronze(
@@ -33,8 +25,7 @@ def start_bronze(
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        at = F.col(LANDED) if LANDED in batch.columns else run_time()
-        merge_events(batch.sparkSession, layout, payload_events(batch, at))
+        merge_payloads(batch.sparkSession, layout, batch)
         if after_batch:
             after_batch(batch_id)
 
@@ -57,7 +48,7 @@ def start_refresh(
     spark = payloads.sparkSession
 
     def rebuild(_: int) -> None:
-        refresh_flares(spark, layout)
+        refresh_changed_flares(spark, layout)
         refresh_contaminated(spark, layout)
         if after_gold:
             after_gold("contaminated_obs")

@@ -21,9 +21,36 @@ def csv(tmp_path, text):
 
 
 def test_s1_positional_text(spark, tmp_path):
-    path = csv(tmp_path, '# one\n#two,x\nZ,Y,X\n1,,"q ""r"", s"\n" p ","","#n"\n"two\nlines",2.50,\n')
+    path = csv(tmp_path, '# one\n#two,x\nZ,Y,X\n1,,"q ""r"", s"\n" p ","","#n"\n#3,4,5\n"two\nlines",2.50,\n')
     got = rows(archive_csv.read_export(spark, path, ABC))
-    assert got == [("1", None, 'q "r", s'), (" p ", "", "#n"), ("two\nlines", "2.50", None)]
+    assert got == [("1", None, 'q "r", s'), (" p ", "", "#n"), ("#3", "4", "5"), ("two\nlines", "2.50", None)]
+
+
+def test_s1_heads_of_several_files(spark, tmp_path):
+    """Each file's own head goes, also where one task reads several files or many tasks one."""
+    for number, head in enumerate(("", "# x\n", "#x,y\n#\n")):
+        body = "".join(f"#{number},{i},\n" for i in range(500))
+        (tmp_path / f"{number}.csv").write_text(f"{head}a,b,c\n{body}")
+    want = [(f"#{n}", str(i), None) for n in range(3) for i in range(500)]
+    for size in ("200", "1000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            df = archive_csv.read_export(spark, str(tmp_path), ABC, embedded_newlines=False)
+            assert sorted(rows(df)) == sorted(want)
+            assert (df.rdd.getNumPartitions() > 3) == (size == "200")
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("text", ["", "# only\n", "a,b,c\n", "#x\na,b,c\n"])
+def test_s1_no_records(spark, tmp_path, text):
+    assert rows(archive_csv.read_export(spark, csv(tmp_path, text), ABC)) == []
+
+
+def test_s1_a_comment_that_opens_a_quote_is_an_error(spark, tmp_path):
+    df = archive_csv.read_export(spark, csv(tmp_path, '# x,"y\na,b,c\n1,2,3\n'), ABC)
+    with pytest.raises(Exception, match="Malformed comment"):
+        df.collect()
 
 
 def test_s1_without_embedded_newlines(spark, tmp_path):
@@ -99,6 +126,25 @@ def test_s8_s10_k3_catalog(spark, tmp_path):
     assert tables.read_table(spark, "lake.made").columns == ["id", "name"]
 
 
+def test_k2_a_replacement_that_broke_off_is_made_up_for(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.replace_parquet(spark.range(5), path)
+    os.rename(path, f"{path}.previous-abc")
+    with pytest.raises(FileNotFoundError, match="being replaced"):
+        tables.read_or_empty(spark, path, ABC)
+    files.recover(spark, path)
+    assert spark.read.parquet(path).count() == 5
+    os.rename(path, f"{path}.previous-abc")
+    assert files.replace_parquet(spark.range(3), path) == 3
+    assert spark.read.parquet(path).count() == 3 and os.listdir(tmp_path) == ["t"]
+
+
+def test_s3_hash_split_meets_each_row_once():
+    first, second, third = jdbc.HashSplit("obsid", 3).predicates()
+    share = "mod(abs(CAST(hashtext(CAST(obsid AS text)) AS bigint)), 3)"
+    assert (first, second, third) == (f"{share} = 0 OR obsid IS NULL", f"{share} = 1", f"{share} = 2")
+
+
 def test_s3_k4_connection():
     url, properties = jdbc.connection("postgresql://me:p%40ss@db.example:5433/store")
     assert url == "jdbc:postgresql://db.example:5433/store"

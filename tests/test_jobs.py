@@ -249,6 +249,99 @@ def test_rejects_of_other_years_stay(spark, inputs):
     assert {r["year"] for r in kept} == {2015, 2016}
 
 
+def test_a_tick_touches_only_its_days(spark, inputs):
+    _, _, landing, layout = inputs
+
+    def flare(day, hour, kind="M1.0", **more):
+        return {"begin_time": f"2024-05-{day:02}T{hour:02}:00:00Z", "xray_class": kind, **more}
+
+    def files():
+        return {day: sorted(os.listdir(f"{layout.flares}/{day}")) for day in os.listdir(layout.flares)
+                if day.startswith("flare_date")}
+
+    def tick(name, records):
+        land(landing, name, records)
+        jobs.ingest_landed(spark, layout, str(landing))
+        jobs.refresh_changed_flares(spark, layout)
+        got = rows(jobs.silver_flares(spark, layout).select("event_start", "xray_class"), "event_start", "xray_class")
+        whole = silver_flares_of(jobs.read_events(spark, layout))
+        assert got == rows(whole.select("event_start", "xray_class"), "event_start", "xray_class")
+        return got
+
+    assert len(tick("1.json", [flare(d, h) for d in (1, 2, 3) for h in (1, 2)])) == 6
+    before = files()
+    assert len(before) == 3
+    assert len(tick("2.json", [flare(2, 5)])) == 7
+    after = files()
+    assert {day for day in after if after[day] != before[day]} == {"flare_date=2024-05-02"}
+    # Day 3 loses all its flares to corrections without a class; its folder goes.
+    assert len(tick("3.json", [flare(3, h, None) for h in (1, 2)])) == 5
+    assert len(files()) == 2
+    rejects = spark.read.parquet(layout.flare_rejects)
+    assert [r["reject_reason"] for r in rejects.collect()] == ["missing xray_class"] * 2
+    assert files()["flare_date=2024-05-01"] == before["flare_date=2024-05-01"]
+    # Nothing new, nothing read or written.
+    jobs.ingest_landed(spark, layout, str(landing))
+    jobs.refresh_changed_flares(spark, layout)
+    assert len(files()) == 2
+
+
+def silver_flares_of(events):
+    from obsflow.plans import silver
+
+    return silver.flares(events)
+
+
+def test_a_flare_that_starts_on_another_day_is_still_one(spark, inputs):
+    """Envelopes of two days name the same start; the newest version wins in either refresh."""
+    _, _, _, layout = inputs
+    made = [("2024-05-01 10:00:00", "2024-05-02T01:00:00Z", 1), ("2024-05-02 01:00:00", "2024-05-02T01:00:00Z", 2)]
+    for time, begin, version in made:
+        record = json.dumps({"begin_time": begin, "xray_class": "M1.0"})
+        events = spark.createDataFrame(
+            [("solar_flares", time, record, f"2024-06-0{version} 00:00:00")],
+            "endpoint string, event_time string, record string, ingested_at string",
+        ).withColumns({c: F.col(c).cast("timestamp") for c in ("event_time", "ingested_at")})
+        jobs.merge_events(spark, layout, events)
+        assert jobs.refresh_changed_flares(spark, layout) == 1
+    assert [r["ingested_at"].day for r in jobs.silver_flares(spark, layout).collect()] == [2]
+
+
+def test_what_feeds_reject_is_kept_once(spark, inputs):
+    _, _, landing, layout = inputs
+    land(landing, "1.json", [{"begin_time": "2024-05-01T00:00:00Z", "xray_class": "M1.0"}, {"begin_time": "?"}])
+    land(landing, "2.json", {"begin_time": "2024-05-01T00:00:00Z"})
+    land(landing, "1.json", [1], "no_such_feed")
+    for _ in range(2):
+        jobs.ingest_live(spark, layout, str(landing))
+        refused = rows(spark.read.parquet(layout.feed_rejects).select("reject_reason", "endpoint"), "reject_reason")
+        assert refused == [("no JSON array", "solar_flares"), ("no time", "solar_flares"), ("unknown feed", "no_such_feed")]
+        assert jobs.read_events(spark, layout).count() == 1
+
+
+def test_gold_refuses_silver_that_was_never_written(spark, inputs):
+    *_, layout = inputs
+    with pytest.raises(FileNotFoundError, match="not been written"):
+        jobs.refresh_gold(spark, layout, "sky_coverage")
+
+
+def test_backfill_counts_its_lines(spark, inputs):
+    _, reports, _, layout = inputs
+    jobs.backfill(spark, layout, str(reports), 2015, 2016)
+    assert rows(spark.read.parquet(layout.report_counts).select("year", "parsed", "skipped"), "year") == [
+        (2015, 2, 1), (2016, 1, 0)
+    ]
+
+
+def test_another_session_serves_what_gold_wrote(spark, inputs, monkeypatch):
+    *_, layout = inputs
+    spark.range(3).write.parquet(layout.gold("sky_coverage"))
+    sent = []
+    monkeypatch.setattr(jobs, "write_database", lambda df, dsn, table: sent.append((df.count(), dsn, table)))
+    jobs.serve(spark.newSession(), layout, "sky_coverage", "postgresql://h/d", "public.sky")
+    assert sent == [(3, "postgresql://h/d", "public.sky")]
+
+
 def test_a_table_in_the_middle_of_a_swap_is_no_empty_table(spark, tmp_path):
     from obsflow.sources.tables import read_or_empty
 
