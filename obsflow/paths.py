@@ -15,6 +15,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    system, target = _on_file_system(spark, path)
+    system.mkdirs(target)
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     system, source = _on_file_system(spark, old)
     _, target = _on_file_system(spark, new)

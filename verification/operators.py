@@ -314,12 +314,12 @@ _KEPT = "event_id % 17 > 1"
 )
 def report_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every data line, rejected ones left out."""
-    parsed = reports.parse_reports(_report_lines(spark, sf_dir), keep=["event_id"])
+    parsed = reports.parse_reports(report_lines(spark, sf_dir), keep=["event_id"])
     fields = [f"fields.{n}" for n in ("event_time", "begin_time", "end_time", "max_time", "xray_class")]
     return plain(parsed.filter("fields is not null").select("event_id", *fields))
 
 
-def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", "user_id", F.year("ts").alias("year"),
         F.date_format("ts", "yyMMdd").alias("ymd"), F.date_format("ts", "HHmm").alias("hhmm"),
@@ -336,7 +336,7 @@ def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed and skipped lines per year."""
-    return reports.report_counts(reports.parse_reports(_report_lines(spark, sf_dir)))
+    return reports.report_counts(reports.parse_reports(report_lines(spark, sf_dir)))
 
 
 @query(
