@@ -177,14 +177,15 @@ _WORST = """contaminated AS (
 
 
 def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with a start on the first day of its month, so that many compete for each start."""
     half_hours = F.expr("make_dt_interval(0, int((o_orderkey % 48) div 2), int((o_orderkey % 2) * 30))")
-    return table(spark, sf_dir, "orders").withColumn("begin", F.col("o_orderdate") + half_hours)
+    return table(spark, sf_dir, "orders").withColumn("begin", F.date_trunc("month", "o_orderdate") + half_hours)
 
 
 @query(
     "refresh_incremental",
     f"""WITH {OBSERVATIONS_SQL}, bronze AS (
-      SELECT o_orderdate + to_minutes(CAST((o_orderkey % 48) * 30 AS INT)) AS flare_start, o_custkey % 300 AS lasts,
+      SELECT date_trunc('month', o_orderdate) + to_minutes(CAST((o_orderkey % 48) * 30 AS INT)) AS flare_start, o_custkey % 300 AS lasts,
         o_orderkey, {_CLASS} AS flare_class FROM orders
       QUALIFY row_number() OVER (PARTITION BY flare_start ORDER BY o_custkey % 2 DESC, o_orderkey DESC) = 1
     ), flares AS (
@@ -217,7 +218,7 @@ def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "refresh_all",
     f"""WITH {OBSERVATIONS_SQL}, flares AS (
-      SELECT o_orderdate + to_minutes(CAST((o_orderkey % 48) * 30 AS INT)) AS flare_start,
+      SELECT date_trunc('month', o_orderdate) + to_minutes(CAST((o_orderkey % 48) * 30 AS INT)) AS flare_start,
         flare_start + INTERVAL 40 MINUTE AS flare_end,
         max({pick("o_custkey % 5", "ABCMX")} || (o_custkey * 9 % 1000 // 10) || '.' || (o_custkey * 9 % 1000 % 10))
           AS flare_class FROM orders GROUP BY ALL
