@@ -15,6 +15,11 @@ document that has each, and streams the stretches through it: where the matching
 statistic reaches ``WINDOW`` words, the state knows the first document with that
 window. Per document the windows found are joined to maximal spans and removed.
 
+An anchor that stands in very many different surroundings would crowd its shard.
+Such anchors are found in a share of the documents before, and their windows are
+dealt one by one, by their whole content, which equal windows share as well. What
+the share misses changes how work is dealt, never which windows are found.
+
 Shards hold a fixed share of the text, so their number grows with the corpus and
 their automata do not. Equal stretches of one batch of documents travel once.
 Stretches that are frequent in a batch travel without the list of their places;
@@ -43,6 +48,12 @@ WINDOW = 13
 GRAM = 3
 #: Text per shard; its stretches take several times as much.
 SHARD_BYTES = 2 << 20
+#: An anchor with more different stretches than this, as estimated, is crowded.
+CROWDED = 1 << 14
+#: One in so many documents is looked at for crowded anchors.
+SAMPLE = 100
+#: Every task holds the hashes of the most crowded anchors, 8 MB at most; others lie in one shard as they are.
+_MOST_CROWDED = 1 << 20
 #: A stretch with more places than this in a batch is frequent.
 LISTED = 8
 _BYTES_AT_ONCE = 1 << 20
@@ -143,24 +154,35 @@ class Stretches:
     columns: dict[str, np.ndarray]
 
     @classmethod
-    def of(cls, words: Words, numbers: np.ndarray, firsts: np.ndarray, ids: np.ndarray, keys: np.ndarray, shards: int):
+    def of(
+        cls, words: Words, numbers: np.ndarray, firsts: np.ndarray, ids: np.ndarray, keys: np.ndarray, shards: int,
+        crowded: np.ndarray,
+    ):
         owner, at, sizes, anchor, hashes = words.stretches()
+        single = np.isin(hashes, crowded)
+        if single.any():
+            which, nth = _repeat(np.where(single, sizes, 1))
+            owner, anchor, hashes, single = owner[which], anchor[which], hashes[which], single[which]
+            at, sizes = at[which] + np.where(single, nth, 0), np.where(single, 1, sizes[which])
         begins = (np.cumsum(words.counts) - words.counts)[owner]
         low, last = words.starts[at], at + sizes + WINDOW - 2
+        high, content = words.ends[last], words.hashes(at, last)
+        gram, gram_length = words.starts[anchor] - low, words.ends[anchor + GRAM - 1] - words.starts[anchor]
         return cls(words.joined, {
-            "shard": (hashes % np.uint64(shards)).astype(np.int64), "content": words.hashes(at, last),
-            "low": low, "high": words.ends[last], "windows": sizes,
-            "gram": words.starts[anchor] - low, "gram_length": words.ends[anchor + GRAM - 1] - words.starts[anchor],
+            "shard": (np.where(single, content, hashes) % np.uint64(shards)).astype(np.int64), "content": content,
+            "low": low, "high": high, "windows": sizes,
+            # The anchor of a window dealt by itself is all of it.
+            "gram": np.where(single, 0, gram), "gram_length": np.where(single, high - low, gram_length),
             "doc": ids[numbers[owner]], "key": keys[numbers[owner]], "first": firsts[owner] + at - begins,
         })
 
 
-def _stretches(batch: pa.RecordBatch, shards: int) -> Iterator[Stretches]:
+def _stretches(batch: pa.RecordBatch, shards: int, crowded: np.ndarray) -> Iterator[Stretches]:
     texts = [t or b"" for t in batch.column("text").to_pylist()]
     ids = int64(batch.column("doc_id"), _NO_ID)
     keys = np.array([zlib.crc32(t) for t in texts], np.int64)
     for numbers, firsts, words in _runs_of_words(texts):
-        yield Stretches.of(words, np.array(numbers), np.array(firsts), ids, keys, shards)
+        yield Stretches.of(words, np.array(numbers), np.array(firsts), ids, keys, shards, crowded)
 
 
 _BLOB = pa.schema([("shard", pa.int32()), ("contents", pa.binary()), ("numbers", pa.binary()), ("size", pa.int64())])
@@ -238,11 +260,32 @@ def _unpacked(data: bytes) -> bytes:
     return _codec.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
 
 
-def _gather(shards: int, what: str):
+_ANCHORED = pa.schema([("anchor", pa.int64()), ("content", pa.int64())])
+
+
+def _anchors(batches):
+    for batch in batches:
+        for texts in _slices(batch, _BYTES_AT_ONCE):
+            for *_, words in _runs_of_words([t or b"" for t in texts.column("text").to_pylist()]):
+                _, at, sizes, _, hashes = words.stretches()
+                pairs = np.unique(np.stack([hashes, words.hashes(at, at + sizes + WINDOW - 2)]), axis=1)
+                yield record_batch(_ANCHORED, *pairs.view(np.int64))
+
+
+def crowded_anchors(docs: DataFrame, crowded: int = CROWDED, sample: int = SAMPLE) -> np.ndarray:
+    """The hashes of anchors in more than ``crowded`` different stretches, judged by one in ``sample`` documents."""
+    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0)
+    different = arrow_map(some, _anchors, "anchor bigint, content bigint").distinct()
+    counts = different.groupBy("anchor").count().filter(F.col("count") > crowded / sample)
+    most = counts.orderBy(F.desc("count"), "anchor").limit(_MOST_CROWDED).select("anchor").toArrow()
+    return int64(most.column("anchor").combine_chunks()).view(np.uint64)
+
+
+def _gather(shards: int, what: str, crowded: np.ndarray = np.zeros(0, np.uint64)):
     def step(batches):
         gathered, held = [], 0
         for batch in batches:
-            for some in (s for texts in _slices(batch, _BYTES_AT_ONCE) for s in _stretches(texts, shards)):
+            for some in (s for texts in _slices(batch, _BYTES_AT_ONCE) for s in _stretches(texts, shards, crowded)):
                 gathered.append(some)
                 held += len(some.joined)
                 if held > _FLUSH_BYTES:
@@ -399,11 +442,12 @@ def _match(batches):
         yield from _verdicts(shard)
 
 
-def repeated_windows(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def repeated_windows(docs: DataFrame, shard_bytes: int = SHARD_BYTES, crowded: int = CROWDED, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, text_key, first, mask): the windows of (doc_id, text) that start in a document with a smaller id too."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
-    blobs = arrow_map(docs, _gather(shards, "blobs"), "shard int, contents binary, numbers binary, size bigint")
+    anchors = crowded_anchors(docs, crowded, sample)
+    blobs = arrow_map(docs, _gather(shards, "blobs", anchors), "shard int, contents binary, numbers binary, size bigint")
     dealt = blobs.repartition("shard").sortWithinPartitions("shard")
     verdicts = staged(
         arrow_map(
@@ -413,7 +457,7 @@ def repeated_windows(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFra
         "verdicts",
     )
     places = arrow_map(
-        docs, _gather(shards, "frequent"), "content bigint, doc_id bigint, text_key bigint, first bigint, windows int"
+        docs, _gather(shards, "frequent", anchors), "content bigint, doc_id bigint, text_key bigint, first bigint, windows int"
     )
     bits = F.aggregate(
         F.sequence(F.lit(0), F.size("firsts") - 1), F.lit(0),
@@ -455,7 +499,9 @@ def _remove(batches):
             yield record_batch(_KEPT, batch.column("doc_id"), counts, removed, kept)
 
 
-def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, shard_bytes: int = SHARD_BYTES, crowded: int = CROWDED, sample: int = SAMPLE
+) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row of ``docs`` (doc_id, text; other columns are not looked at).
 
     ``kept`` has the words that stay, joined by one space, as UTF-8. Windows are
@@ -465,7 +511,7 @@ def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFram
     rows. Texts are read whole, however long.
     """
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    found = repeated_windows(rows, shard_bytes)
+    found = repeated_windows(rows, shard_bytes, crowded, sample)
     per_text = found.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "mask")).alias("places"))
     per_text = per_text.withColumnsRenamed({"doc_id": "id", "text_key": "key"})
     own = (F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("id")) & (F.crc32("text") == F.col("key"))

@@ -77,6 +77,22 @@ def test_frequent_passages_go_by_content(spark):
     assert as_rows(digest(substrings.without_repeats(table))) == sorted(slow(rows), key=str)
 
 
+def test_crowded_anchors_go_window_by_window(spark):
+    """A phrase that every document surrounds by other words, beside repeated passages."""
+    dice, phrase = random.Random(4), [f"extraordinary{i}" for i in range(8)]
+    made = [
+        " ".join([f"a{dice.randrange(30)}" for _ in range(9)] + phrase + [f"b{dice.randrange(30)}" for _ in range(9)])
+        for _ in range(150)
+    ]
+    rows = doc_rows(texts(7) + made + [f"{a} {b}" for a, b in zip(made, reversed(made))])
+    docs = doc_table(spark, rows)
+    binary = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    assert 0 < len(substrings.crowded_anchors(binary, 50, 1)) < len(substrings.crowded_anchors(binary, 0, 1))
+    expected = sorted(slow(rows), key=str)
+    for crowded in (50, 0):
+        assert as_rows(digest(substrings.without_repeats(docs, 500, crowded, 1))) == expected
+
+
 def test_odd_rows(spark):
     words = " ".join(f"w{i}" for i in range(20))
     rows = [(3, words), (3, words), (3, words + " more"), (None, words), (None, words + " z"), (2, None), (9, "x " + words), (1, "w0")]
