@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,27 +37,64 @@ class Page:
         )
 
 
+@dataclass(frozen=True)
+class Key:
+    """A column of a page order."""
+
+    name: str
+    descending: bool = False
+    nulls_last: bool = False
+
+    def order(self) -> Column:
+        column = F.col(self.name)
+        if self.descending:
+            return column.desc_nulls_last() if self.nulls_last else column.desc_nulls_first()
+        return column.asc_nulls_last() if self.nulls_last else column.asc_nulls_first()
+
+    def beyond(self, value: object) -> Column:
+        """Whether a row stands behind the value in this column."""
+        column = F.col(self.name)
+        if value is None:
+            return F.lit(False) if self.nulls_last else column.isNotNull()
+        further = F.coalesce(column < F.lit(value) if self.descending else column > F.lit(value), F.lit(False))
+        return further | column.isNull() if self.nulls_last else further
+
+
 def page_of(df: DataFrame, order: Sequence[Column], page: Page) -> DataFrame:
-    """Rows of one page; give a total order for stable pages."""
+    """Rows of one page; give a total order for stable pages.
+
+    Spark keeps ``offset + limit`` rows in one task. For pages far into a large
+    table use ``page_after``.
+    """
     return df.orderBy(*order).offset(page.offset).limit(page.limit)
 
 
+def page_after(df: DataFrame, keys: Sequence[Key], last: Mapping[str, object] | None, limit: int) -> DataFrame:
+    """The page behind the last row of the one before, or the first page.
+
+    Every page costs a filtered scan and ``limit`` rows per task, however far
+    into the table it lies. ``keys`` have to be a total order.
+    """
+    if last is not None:
+        behind = F.lit(False)
+        for key in reversed(keys):
+            same = F.col(key.name).eqNullSafe(F.lit(last[key.name]))
+            behind = key.beyond(last[key.name]) | (same & behind)
+        df = df.filter(behind)
+    return df.orderBy(*(key.order() for key in keys)).limit(Page(limit, 0).limit)
+
+
+#: The page order of each gold table, with its grain as tie-break.
+PAGE_KEYS = {
+    "contaminated_obs": (Key("t_start", nulls_last=True), Key("obs_id")),
+    "narrow_band_targets": (Key("nb_obs", descending=True), Key("target_name"), Key("filter"), Key("emission_line")),
+    "instrument_calibration": (Key("instrument", nulls_last=True), Key("year_month", nulls_last=True)),
+    "sky_coverage": (Key("nb_obs", descending=True), Key("ra_bin"), Key("dec_bin")),
+}
+
+
 def _ordered(name: str) -> list[Column]:
-    """The page order of a gold table, with its grain as tie-break."""
-    return {
-        "contaminated_obs": [F.col("t_start").asc_nulls_last(), F.col("obs_id").asc()],
-        "narrow_band_targets": [
-            F.col("nb_obs").desc_nulls_first(),
-            *(F.col(c).asc() for c in ("target_name", "filter", "emission_line")),
-        ],
-        "instrument_calibration": [
-            F.col(c).asc_nulls_last() for c in ("instrument", "year_month")
-        ],
-        "sky_coverage": [
-            F.col("nb_obs").desc_nulls_first(),
-            *(F.col(c).asc() for c in ("ra_bin", "dec_bin")),
-        ],
-    }[name]
+    return [key.order() for key in PAGE_KEYS[name]]
 
 
 def _filtered(gold: DataFrame, name: str, first: str | None, last: str | None) -> DataFrame:
@@ -80,6 +117,14 @@ def gold_page(
     return page_of(_filtered(gold, name, first, last), _ordered(name), page)
 
 
+def gold_page_after(
+    gold: DataFrame, name: str, limit: int, row: Mapping[str, object] | None,
+    first: str | None = None, last: str | None = None,
+) -> DataFrame:
+    """The page of ``gold_page`` that follows the given row, at the same cost wherever it lies."""
+    return page_after(_filtered(gold, name, first, last), PAGE_KEYS[name], row, limit)
+
+
 def _json_value(name: str, kind: str) -> Column:
     col = F.col(name)
     if kind == "decimal":

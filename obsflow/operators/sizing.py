@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_LIMIT = 512 * 1024 * 1024
+#: A side of up to this many bytes, as measured, is broadcast; a driver of default memory holds it.
+BROADCAST_LIMIT = 64 * 1024 * 1024
 
 # Bytes per row of a hashed relation beyond its text.
 _ROW_BYTES = 48

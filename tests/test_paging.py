@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from obsflow.operators import paging
 from obsflow.operators.paging import Page, gold_json_page, gold_page, json_page, json_rows
 from tests.conftest import rows
 
@@ -82,3 +83,17 @@ def test_k6_page(contaminated):
     assert [r["obs_id"] for r in page["rows"]] == ["o4", "o5", "o6"]
     past = json.loads(json_page(contaminated, [F.col("obs_id")], Page(3, 40)).first()["page"])
     assert past == {"count": 0, "limit": 3, "offset": 40, "rows": []}
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("nulls_last", [False, True])
+def test_o2_pages_by_key_are_the_pages_by_offset(spark, descending, nulls_last):
+    values = [(v, w) for v in (None, 3, 1, 2, 3) for w in ("b", None, "a")]
+    made = [(v, w, i) for i, (v, w) in enumerate(values)]
+    df = spark.createDataFrame(made, "v int, w string, i int")
+    keys = [paging.Key("v", descending, nulls_last), paging.Key("w", not descending, nulls_last), paging.Key("i")]
+    want = [tuple(r) for r in df.orderBy(*(k.order() for k in keys)).collect()]
+    got, last = [], None
+    while page := paging.page_after(df, keys, last, 4).collect():
+        got, last = got + [tuple(r) for r in page], page[-1].asDict()
+    assert got == want

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.operators import grid, kpis
-from obsflow.operators.paging import Page, gold_json_page, gold_page, json_rows
+from obsflow.operators.paging import Page, gold_json_page, gold_page, gold_page_after, json_rows
 from obsflow.operators.rejects import REASON
 from obsflow.plans import gold, silver
 from obsflow.schemas import CALIBRATION_TARGETS, EMISSION_LINES
@@ -219,6 +219,20 @@ def page_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(gold_page(rows, "contaminated_obs", page, "1996-01-01", "1999-12-31"))
 
 
+@query(
+    "page_after_contaminated",
+    f"""WITH {CONTAMINATED_SQL} SELECT * FROM contaminated
+    WHERE t_start >= TIMESTAMP '1996-01-01' ORDER BY t_start, obs_id LIMIT 30 OFFSET 60""",
+)
+def page_after_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2 by key: the third page, reached from the last row of the second."""
+    rows, last = _contaminated(spark, sf_dir), None
+    for _ in range(2):
+        page = gold_page_after(rows, "contaminated_obs", 30, last, "1996-01-01").collect()
+        last = page[-1].asDict()
+    return plain(gold_page_after(rows, "contaminated_obs", 30, last, "1996-01-01"))
+
+
 @query(
     "page_narrow_band",
     f"""WITH {NARROW_BAND_SQL} SELECT * FROM narrow_band
