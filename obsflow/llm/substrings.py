@@ -24,6 +24,8 @@ Shards hold a fixed share of the text, so their number grows with the corpus and
 their automata do not. Equal stretches of one batch of documents travel once.
 Stretches that are frequent in a batch travel without the list of their places;
 their places are joined to the result by content instead, which Spark can split.
+Both come from one reading of the documents and travel in one shuffle, since what
+is frequent depends on the batch, and another job may cut its batches otherwise.
 """
 
 from __future__ import annotations
@@ -58,6 +60,7 @@ _MOST_CROWDED = 1 << 20
 LISTED = 8
 _BYTES_AT_ONCE = 1 << 20
 _FLUSH_BYTES = 8 << 20
+_PLACES_AT_ONCE = 1 << 16
 _NO_ID = np.iinfo(np.int64).max  # a document without id comes after all others
 _BASE = 0x9E3779B97F4A7C15
 _SHORT_GRAM = 4 * GRAM
@@ -189,6 +192,9 @@ _BLOB = pa.schema([("shard", pa.int32()), ("contents", pa.binary()), ("numbers",
 _PLACE = pa.schema([("content", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("first", pa.int64()), ("windows", pa.int32())])
 
 
+_PLACES = ("content", "doc_id", "text_key", "first")
+
+
 def _content_key(content: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
 
@@ -245,6 +251,18 @@ class Batch:
             _PLACE, content[owner], *(self.columns[c][place] for c in ("doc", "key", "first", "windows"))
         )
 
+    def dealt(self, shards: int) -> Iterator[pa.RecordBatch]:
+        """The blobs, and the places of frequent stretches, which go to any shard but the one that would be hot.
+
+        A row without contents has places; which shard it goes to follows from what it has.
+        """
+        yield from self.blobs()
+        for places in self.frequent():
+            for begin in range(0, places.num_rows, _PLACES_AT_ONCE):
+                some = places.slice(begin, _PLACES_AT_ONCE)
+                numbers = _packed(b"".join(int64(some.column(c)).astype("<i8").tobytes() for c in _PLACES))
+                yield record_batch(_BLOB, [zlib.crc32(numbers) % shards], [None], [numbers], [some.num_rows])
+
 
 def _repeat(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each number as often as its count says, and the place within its repeats."""
@@ -282,6 +300,9 @@ def crowded_anchors(docs: DataFrame, crowded: int = CROWDED, sample: int = SAMPL
 
 
 def _gather(shards: int, what: str, crowded: np.ndarray = np.zeros(0, np.uint64)):
+    def rows(batch: Batch) -> Iterator[pa.RecordBatch]:
+        return batch.dealt(shards) if what == "dealt" else getattr(batch, what)()
+
     def step(batches):
         gathered, held = [], 0
         for batch in batches:
@@ -289,10 +310,10 @@ def _gather(shards: int, what: str, crowded: np.ndarray = np.zeros(0, np.uint64)
                 gathered.append(some)
                 held += len(some.joined)
                 if held > _FLUSH_BYTES:
-                    yield from getattr(Batch(gathered), what)()
+                    yield from rows(Batch(gathered))
                     gathered, held = [], 0
         if gathered:
-            yield from getattr(Batch(gathered), what)()
+            yield from rows(Batch(gathered))
 
     return step
 
@@ -429,10 +450,20 @@ def _verdicts(shard: Shard) -> Iterator[pa.RecordBatch]:
         yield record_batch(_VERDICT, [_content_key(texts[n]) for n in own], lists, nothing, nothing, nothing, nothing)
 
 
+def _places(numbers: bytes, size: int) -> pa.RecordBatch:
+    """Places of frequent stretches as they were found, for the verdicts by content."""
+    content, doc, key, first = np.frombuffer(_unpacked(numbers), "<i8").reshape(len(_PLACES), size)
+    nothing = [None] * size
+    return record_batch(_VERDICT, content, nothing, doc, key, first, nothing)
+
+
 def _match(batches):
     shard, current = Shard(), None
     for batch in batches:
         for row in batch.to_pylist():
+            if row["contents"] is None:
+                yield _places(row["numbers"], row["size"])
+                continue
             if current is not None and row["shard"] != current:
                 yield from _verdicts(shard)
                 shard = Shard()
@@ -447,7 +478,7 @@ def repeated_windows(docs: DataFrame, shard_bytes: int = SHARD_BYTES, crowded: i
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
     anchors = crowded_anchors(docs, crowded, sample)
-    blobs = arrow_map(docs, _gather(shards, "blobs", anchors), "shard int, contents binary, numbers binary, size bigint")
+    blobs = arrow_map(docs, _gather(shards, "dealt", anchors), "shard int, contents binary, numbers binary, size bigint")
     dealt = blobs.repartition("shard").sortWithinPartitions("shard")
     verdicts = staged(
         arrow_map(
@@ -456,14 +487,12 @@ def repeated_windows(docs: DataFrame, shard_bytes: int = SHARD_BYTES, crowded: i
         ),
         "verdicts",
     )
-    places = arrow_map(
-        docs, _gather(shards, "frequent", anchors), "content bigint, doc_id bigint, text_key bigint, first bigint, windows int"
-    )
+    places = verdicts.filter("content IS NOT NULL AND firsts IS NULL").select(*_PLACES)
     bits = F.aggregate(
         F.sequence(F.lit(0), F.size("firsts") - 1), F.lit(0),
         lambda done, k: done + F.when(F.col("firsts")[k] < F.col("doc_id"), F.pow(F.lit(2), k).cast("int")).otherwise(0),
     )
-    frequent = verdicts.filter("content IS NOT NULL").select("content", "firsts")
+    frequent = verdicts.filter("firsts IS NOT NULL").select("content", "firsts")
     joined = places.join(frequent, "content").withColumn("mask", bits)
     columns = ["doc_id", "text_key", "first", "mask"]
     return verdicts.filter("content IS NULL").select(columns).union(joined.select(columns)).filter("mask <> 0")

@@ -77,6 +77,27 @@ def test_frequent_passages_go_by_content(spark):
     assert as_rows(digest(substrings.without_repeats(table))) == sorted(slow(rows), key=str)
 
 
+def test_batches_need_not_be_the_same_in_every_job(spark, tmp_path):
+    """One partition while the windows are judged, one for each file when the result is read."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = doc_rows([f"{passage} own{i} " + " ".join(f"t{i}-{k}" for k in range(20)) for i in range(40)])
+    for part in range(10):
+        (tmp_path / f"{part}").mkdir()
+        write_documents(tmp_path / f"{part}", rows[part::10])
+    docs = spark.read.parquet(*(f"{tmp_path}/{part}/documents.parquet" for part in range(10)))
+    files = {f"spark.sql.files.{name}": value for name, value in {"openCostInBytes": "0", "minPartitionNum": "1"}.items()}
+    try:
+        for name, value in files.items():
+            spark.conf.set(name, value)
+        assert docs.rdd.getNumPartitions() == 1
+        found = substrings.without_repeats(docs)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        assert as_rows(digest(found)) == sorted(slow(rows), key=str)
+    finally:
+        for name in (*files, "spark.sql.files.maxPartitionBytes"):
+            spark.conf.unset(name)
+
+
 def test_crowded_anchors_go_window_by_window(spark):
     """A phrase that every document surrounds by other words, beside repeated passages."""
     dice, phrase = random.Random(4), [f"extraordinary{i}" for i in range(8)]
