@@ -3,7 +3,7 @@
 A k-mer of code points is an anchor if its least inner substring of ``INNER``
 code points, by hash, lies at one of its two ends. That depends on the k-mer
 alone, so a passage has the same anchors wherever it stands. A fingerprint keeps
-the ``ANCHORS`` anchors of least hash with their first places. Two fingerprints
+all anchors with their first places, so it grows with the text. Two fingerprints
 are matched by position: of the anchors they share, those count that stand in
 the same order in both texts.
 """
@@ -27,7 +27,8 @@ from obsflow.llm.registry import query
 
 KMER = 12
 INNER = 4
-ANCHORS = 48
+#: How many anchors a fingerprint keeps, the end of a slice: all of them.
+ANCHORS = None
 _CHARS_AT_ONCE = 1 << 18
 _BYTES_AT_ONCE = 1 << 22
 _ANCHOR = np.dtype([("hash", ">u4"), ("place", ">u4")])
@@ -54,21 +55,11 @@ def closed_syncmers(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places, _window_hashes(codes, KMER)[places]
 
 
-def _least_anchors(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The anchors of least hash with their first places, sorted by hash."""
-    if len(hashes) > 4 * ANCHORS:
-        # Equal hashes may fill the front, so what is kept grows until it has enough different ones.
-        keep = 4 * ANCHORS
-        while keep < len(hashes):
-            front = np.flatnonzero(hashes <= np.partition(hashes, keep)[keep])
-            if len(np.unique(hashes[front])) >= ANCHORS:
-                hashes, places = hashes[front], places[front]
-                break
-            keep *= 4
-    short = (hashes >> np.uint64(32)).astype(np.uint64)
-    kept, first = np.unique(short, return_index=True)
-    found = np.zeros(min(ANCHORS, len(kept)), _ANCHOR)
-    found["hash"], found["place"] = kept[:ANCHORS], places[first[:ANCHORS]]
+def _first_places(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The different anchors with their first places, sorted by hash."""
+    kept, first = np.unique(hashes >> np.uint64(32), return_index=True)
+    found = np.zeros(len(kept), _ANCHOR)
+    found["hash"], found["place"] = kept, places[first]
     return found
 
 
@@ -94,7 +85,7 @@ def anchors(texts: Sequence[str]) -> list[np.ndarray]:
             if not len(places) and text:
                 places = np.zeros(1, np.int64)
                 hashes = np.frombuffer(hashlib.blake2b(text.encode(), digest_size=8).digest(), np.uint64)
-            found.append(_least_anchors(hashes, places))
+            found.append(_first_places(hashes, places))
     return found
 
 
@@ -109,26 +100,20 @@ def _long(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of anchors that two fingerprints have in common in the same order, 0 to 1; two empty ones are alike.
-
-    The anchors looked at are those of least hash in both texts together, as
-    far as both fingerprints reach. The result is the Dice coefficient that
-    their share amounts to.
-    """
+    """Dice coefficient of the anchors that stand in the same order in both texts, 0 to 1; two empty fingerprints are alike."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     if len(a) == len(b) and (a == b).all():
         return 1.0
-    together = np.union1d(a["hash"], b["hash"])[: max(len(a), len(b), 1)]
     _, in_a, in_b = np.intersect1d(a["hash"], b["hash"], assume_unique=True, return_indices=True)
-    seen = a["hash"][in_a] <= together[-1]
-    order = np.argsort(a["place"][in_a[seen]], kind="stable")
+    order = np.argsort(a["place"][in_a], kind="stable")
     tails: list[int] = []  # the longest run of places that grows in both texts
-    for place in b["place"][in_b[seen]][order].tolist():
-        at = bisect_left(tails, place)
-        tails[at : at + 1] = [place]
-    share = len(tails) / len(together)
-    return 2 * share / (1 + share)
+    for place in b["place"][in_b][order].tolist():
+        if not tails or place > tails[-1]:
+            tails.append(place)
+        else:
+            tails[bisect_left(tails, place)] = place
+    return 2 * len(tails) / (len(a) + len(b))
 
 
 def printed(fingerprint: np.ndarray) -> str:
@@ -218,7 +203,8 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     near_edited, near_next. A null text counts as empty; an empty text has an
     empty fingerprint, which is alike to an empty one only. Repeated rows are
     each other's next document. A single document is its own next one. An empty
-    table gives no rows. Texts are read whole, however long.
+    table gives no rows. Texts are read whole, however long; a fingerprint takes
+    about 2.4 characters for each one of its text.
     """
     names = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     schema = pa.schema([

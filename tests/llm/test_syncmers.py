@@ -53,6 +53,22 @@ def test_one_repeated_passage_fills_no_front():
     assert [tuple(x) for x in syncmers.anchors([text])[0].tolist()] == slow_fingerprint(text)
 
 
+def test_a_short_passage_is_found_in_long_texts():
+    dice = random.Random(5)
+    passage, one, other = ("".join(dice.choices("abcdefgh ", k=n)) for n in (300, 120_000, 120_000))
+    a, b = syncmers.anchors([one[:70_000] + passage + one[70_000:], other[:9_000] + passage + other[9_000:]])
+    shared = {h >> 32 for _, h in slow_syncmers(passage)}
+    assert len(shared) > 40 and shared <= set(a["hash"].tolist()) & set(b["hash"].tolist())
+    assert syncmers.likeness(a, b) >= 2 * len(shared) / (len(a) + len(b))
+
+
+def test_a_few_changed_words_in_a_long_text_show():
+    text = "".join(random.Random(6).choices("abcdefgh ", k=120_000))
+    changed = text[:50_000] + "xyzzy" * 10 + text[50_050:]
+    a, b = syncmers.anchors([text, changed])
+    assert 0.99 < syncmers.likeness(a, b) < 1
+
+
 def test_anchors_do_not_depend_on_context():
     passage = "".join(random.Random(3).choices("abcdefgh", k=200))
     alone = {h for _, h in slow_syncmers(passage)}
