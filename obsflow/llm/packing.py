@@ -10,6 +10,10 @@ How much of each queue has been served after any window is a formula of the
 window's number and the totals per source. So a task finds the places of its
 documents from their token numbers within their source alone: deficits carry
 over all windows and partitions, and nothing is served one after the other.
+
+Where there are more sources than one schedule holds, the smaller ones lie in
+groups. A group is a queue whose tokens its sources give by a schedule of their
+own, and so on, so every source keeps its proportion.
 """
 
 from __future__ import annotations
@@ -36,13 +40,16 @@ SEQUENCE = 2048
 LEAST_SERVED = 64
 END_ID = 1
 PAD_ID = 0
-#: Smaller sources than the first so many, by tokens, share one queue.
+#: One schedule has so many queues at most; where there are more sources, the smaller ones take turns in groups.
 MAX_QUEUES = 1024
 VOCABULARY = "byte_bpe_50k"
 # Fixed value: the special token of that vocabulary.
 SPECIAL = ("<|endoftext|>",)
 _FRACTION = 28
 _CHARS_AT_ONCE = 1 << 20
+#: What a task keeps of the schedules of groups.
+_KEPT_BYTES = 64 << 20
+_CELLS_AT_ONCE = 1 << 18
 
 
 class Encoder:
@@ -169,6 +176,11 @@ class Schedule:
     def place(self, phase, queue, turn, token):
         """The token's place in the stream of all served tokens."""
         at = token - self.served(phase, queue, turn - 1)
+        if len(at) < len(self.totals) and len(at) * len(self.totals) <= _CELLS_AT_ONCE:
+            others = np.arange(len(self.totals))[:, None]
+            before = self.served(phase, others, turn - 1)
+            more = np.where(others < queue, self.served(phase, others, turn) - before, 0)
+            return at + before.sum(axis=0) + more.sum(axis=0)
         for other in range(len(self.totals)):
             before = self.served(phase, other, turn - 1)
             at += before
@@ -176,6 +188,92 @@ class Schedule:
             at[earlier] += self.served(phase[earlier], other, turn[earlier]) - before[earlier]
         return at
 
+    def runs(self, queue: np.ndarray, first: np.ndarray, tokens: np.ndarray):
+        """Of documents that lie at ``first`` in their queue, what is served at once: document, start, length, place."""
+        end = first + tokens
+        bounds = self.base[1:, :]  # where phases end, by queue
+
+        def phase_of(token):
+            found = np.zeros(len(token), np.int64)
+            for q in np.unique(queue):
+                own = queue == q
+                found[own] = np.searchsorted(bounds[:, q], token[own], side="right")
+            return found
+
+        low, high = phase_of(first), phase_of(end - 1)
+        owner, nth = _repeat(high - low + 1)
+        phase, q = low[owner] + nth, queue[owner]
+        begin, stop = np.maximum(first[owner], self.base[phase, q]), np.minimum(end[owner], self.base[phase + 1, q])
+        some = begin < stop
+        owner, phase, q, begin, stop = owner[some], phase[some], q[some], begin[some], stop[some]
+
+        turn, last, every = self.turn_of(phase, q, begin), self.turn_of(phase, q, stop - 1), self.every[phase, q]
+        i, nth = _repeat(-(-(last - turn) // every) + 1)
+        phase, q, turn = phase[i], q[i], np.minimum(turn[i] + nth * every[i], self.rounds[phase[i]])
+        upto = np.minimum(stop[i], self.served(phase, q, turn))
+        since = np.maximum(begin[i], self.served(phase, q, turn - 1))
+        some = since < upto
+        i, phase, q, turn, since, upto = i[some], phase[some], q[some], turn[some], since[some], upto[some]
+        owner = owner[i]
+        return owner, since - first[owner], upto - since, self.place(phase, q, turn, since)
+
+
+@dataclass(frozen=True)
+class Nested:
+    """A schedule of any number of queues, which are numbered by size, the largest first.
+
+    The first ones have a queue of the schedule each; the others lie in groups
+    of neighbours, with a queue for each group.
+    """
+
+    totals: np.ndarray  # by queue
+    weights: np.ndarray | None
+    window: int
+    least: int
+    most: int  # queues of one schedule
+    bounds: np.ndarray  # where groups begin, and the end of the last one
+    schedule: Schedule
+    kept: dict[int, Nested]
+
+    @classmethod
+    def of(cls, totals: np.ndarray, weights: np.ndarray | None = None, window: int = SEQUENCE, least: int = LEAST_SERVED, most: int = MAX_QUEUES):
+        size = len(totals)
+        groups = min(most, max(0, -(-(size - most) // (most - 1))))
+        alone = most - groups if groups else size
+        bounds = alone + (size - alone) * np.arange(groups + 1) // max(groups, 1)
+
+        def summed(values):
+            return [*values[:alone].tolist(), *(values[a:b].sum().item() for a, b in zip(bounds, bounds[1:]))]
+
+        schedule = Schedule.of(summed(totals), None if weights is None else summed(weights), window, least)
+        return cls(totals, weights, window, least, most, bounds, schedule, {})
+
+    def group(self, number: int) -> Nested:
+        if number not in self.kept:
+            while sum(k.schedule.base.nbytes for k in self.kept.values()) * 3 > _KEPT_BYTES:
+                self.kept.pop(next(iter(self.kept)))
+            own = slice(*self.bounds[number : number + 2].tolist())
+            weights = None if self.weights is None else self.weights[own]
+            self.kept[number] = Nested.of(self.totals[own], weights, self.window, self.least, self.most)
+        return self.kept[number]
+
+    def runs(self, queue: np.ndarray, first: np.ndarray, tokens: np.ndarray):
+        """As those of a schedule."""
+        group = np.searchsorted(self.bounds, queue, side="right") - 1
+        if len(self.bounds) == 1 or (group < 0).all():
+            return self.schedule.runs(queue, first, tokens)
+        alone = np.flatnonzero(group < 0)
+        parts = [(alone, np.zeros(len(alone), np.int64), tokens[alone], first[alone], queue[alone])]
+        for number in np.unique(group[group >= 0]).tolist():
+            own = np.flatnonzero(group == number)
+            owner, start, length, place = self.group(number).runs(queue[own] - self.bounds[number], first[own], tokens[own])
+            parts.append((own[owner], start, length, place, np.full(len(owner), self.bounds[0] + number)))
+        owner, start, length, first, queue = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((start, owner))
+        owner, start, length, first, queue = (c[order] for c in (owner, start, length, first, queue))
+        part, begin, length, place = self.schedule.runs(queue, first, length)
+        return owner[part], start[part] + begin, length, place
+
 
 def _repeat(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each number as often as its count says, and the place within its repeats."""
@@ -206,47 +304,20 @@ class Sequences:
         return np.where(number < self.whole, number * self.length, tail)
 
 
-def cut(schedule: Schedule, sequences: Sequences, queue: np.ndarray, first: np.ndarray, tokens: np.ndarray):
+def cut(schedule: Schedule | Nested, sequences: Sequences, queue: np.ndarray, first: np.ndarray, tokens: np.ndarray):
     """The pieces of documents that lie at ``first`` in their queue: document, start, length, sequence, offset."""
     if not len(queue):
         return (np.zeros(0, np.int64),) * 5
-    end = first + tokens
-    bounds = schedule.base[1:, :]  # where phases end, by queue
-
-    def phase_of(token):
-        found = np.zeros(len(token), np.int64)
-        for q in np.unique(queue):
-            own = queue == q
-            found[own] = np.searchsorted(bounds[:, q], token[own], side="right")
-        return found
-
-    low, high = phase_of(first), phase_of(end - 1)
-    owner, nth = _repeat(high - low + 1)
-    phase, q = low[owner] + nth, queue[owner]
-    begin, stop = np.maximum(first[owner], schedule.base[phase, q]), np.minimum(end[owner], schedule.base[phase + 1, q])
-    some = begin < stop
-    owner, phase, q, begin, stop = owner[some], phase[some], q[some], begin[some], stop[some]
-
-    turn, last, every = schedule.turn_of(phase, q, begin), schedule.turn_of(phase, q, stop - 1), schedule.every[phase, q]
-    i, nth = _repeat(-(-(last - turn) // every) + 1)
-    phase, q, turn = phase[i], q[i], np.minimum(turn[i] + nth * every[i], schedule.rounds[phase[i]])
-    upto = np.minimum(stop[i], schedule.served(phase, q, turn))
-    since = np.maximum(begin[i], schedule.served(phase, q, turn - 1))
-    some = since < upto
-    i, phase, q, turn, since, upto = i[some], phase[some], q[some], turn[some], since[some], upto[some]
-    owner = owner[i]
-    place = schedule.place(phase, q, turn, since)
-
-    number, final = sequences.number(place), sequences.number(place + (upto - since) - 1)
+    owner, start, length, place = schedule.runs(queue, first, tokens)
+    number, final = sequences.number(place), sequences.number(place + length - 1)
     i, nth = _repeat(final - number + 1)
     number = number[i] + nth
     here = np.maximum(place[i], sequences.start(number))
-    until = np.where(number == final[i], place[i] + (upto - since)[i], sequences.start(number + 1))
-    owner = owner[i]
-    return owner, since[i] + (here - place[i]) - first[owner], until - here, number, here - sequences.start(number)
+    until = np.where(number == final[i], place[i] + length[i], sequences.start(number + 1))
+    return owner[i], start[i] + (here - place[i]), until - here, number, here - sequences.start(number)
 
 
-def _pieces(schedule: Schedule, sequences: Sequences):
+def _pieces(schedule: Nested, sequences: Sequences):
     schema = pa.schema([
         ("doc_id", pa.int64()), ("source", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()),
@@ -288,7 +359,8 @@ def pack(
     length, doc_tokens, sequence_id, offset, ids (unsigned 32-bit integers,
     little-endian). ``weights`` are the target proportions of the sources, by
     default their shares of all tokens, so that every window has the corpus'
-    mix and all queues end together.
+    mix and all queues end together; a source without a weight has the weight 1.
+    Sources may be any number. The driver and each task hold 8 bytes for each.
 
     A null or empty text is one end token. Every row is a document of its own,
     also one without id or with an id seen before. A null source is a queue of
@@ -307,21 +379,21 @@ def pack(
     parts = encoded.groupBy("task", "source").agg(F.sum("doc_tokens").alias("tokens"))
     sources = parts.groupBy("source").agg(F.sum("tokens").alias("all_tokens"))
     rank = F.row_number().over(Window.orderBy(F.desc("all_tokens"), F.asc_nulls_last("source")))
-    numbered = sources.select(F.col("source").alias("name"), (F.least(rank, F.lit(MAX_QUEUES)) - 1).alias("queue"))
+    numbered = sources.select(F.col("source").alias("name"), (rank - 1).alias("queue"))
     queued = parts.join(numbered, F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    before = Window.partitionBy("queue").orderBy(F.asc_nulls_last("source"), "task").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     placed = staged(queued.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))), "queues")
-    queues = placed.groupBy("queue").agg(F.sum("tokens").alias("tokens"), F.min(F.struct("source")).alias("source"))
-    rows = queues.orderBy("queue").collect()
-    totals = [r["tokens"] for r in rows]
-    chosen = [weights.get(r["source"]["source"], 0) for r in rows] if weights else None
-    schedule = Schedule.of(totals, chosen, sequence, least)
+    queues = placed.groupBy("queue", "source").agg(F.sum("tokens").alias("tokens")).orderBy("queue")
+    rows = queues.select("tokens", *(["source"] if weights else [])).toArrow().combine_chunks()
+    totals = int64(rows.column("tokens").combine_chunks())
+    chosen = np.array([max(1, weights.get(s, 0)) for s in rows.column("source").to_pylist()], np.int64) if weights else None
+    schedule = Nested.of(totals, chosen, sequence, least, MAX_QUEUES)
     at = encoded.join(
         placed.select(F.col("task").alias("t"), F.col("source").alias("s"), "queue", "base"),
         (F.col("task") == F.col("t")) & F.col("source").eqNullSafe(F.col("s")),
     ).select("doc_id", "source", "queue", (F.col("base") + F.col("first")).alias("first"), "doc_tokens", "ids")
     return arrow_map(
-        at, _pieces(schedule, Sequences.of(sum(totals), sequence)),
+        at, _pieces(schedule, Sequences.of(int(totals.sum()), sequence)),
         "doc_id bigint, source string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary",
     )
 

@@ -100,6 +100,49 @@ def test_schedule_serves_every_token_once(totals, weights, window, least):
         assert length[own].sum() == tokens
 
 
+def test_many_sources_keep_their_proportions(spark, monkeypatch):
+    """Sources beyond the queues of one schedule, in two levels of groups."""
+    monkeypatch.setattr(packing, "MAX_QUEUES", 3)
+    rows = [(i, "one two drei " * 60, "en", f"s{i % 13:02}" if i % 26 else None, 0) for i in range(390)]
+    for chosen in (None, {"s12": 4, None: 1}):
+        found = packing.pack(doc_table(spark, rows), weights=chosen, sequence=256, least=8)
+        pieces = found.withColumn("ids_crc32", F.crc32("ids")).collect()
+        total, half = Counter(), Counter()
+        end = sum(p["length"] for p in pieces)
+        tokens = {p["doc_id"]: p["doc_tokens"] for p in pieces}
+        assert len(tokens) == 390 and sum(tokens.values()) == end
+        for p in pieces:
+            total[p["source"]] += p["length"]
+            half[p["source"]] += p["length"] * (256 * p["sequence_id"] + p["offset"] < end // 10)
+        assert len(total) == 14
+        if chosen is None:
+            assert all(abs(half[s] - total[s] / 10) < 130 for s in total)
+        else:
+            plain = [half[s] for s in total if s != "s12"]
+            assert max(plain) - min(plain) < 130 and 3 < half["s12"] / (sum(plain) / len(plain)) < 5
+
+
+@settings(max_examples=100, deadline=None)
+@given(
+    st.lists(st.integers(1, 900), min_size=1, max_size=40), st.booleans(),
+    st.integers(8, 100), st.integers(1, 40), st.integers(2, 5),
+)
+def test_nested_schedule_serves_every_token_once(totals, weighted, window, least, most):
+    totals = np.array(sorted(totals, reverse=True), np.int64)
+    schedule = packing.Nested.of(totals, np.arange(1, len(totals) + 1) if weighted else None, window, least, most)
+    cutter = packing.Sequences.of(int(totals.sum()), window)
+    queue = np.repeat(np.arange(len(totals)), 2)
+    tokens = np.stack([totals // 2, totals - totals // 2], axis=1).ravel()
+    first = np.stack([np.zeros_like(totals), totals // 2], axis=1).ravel()
+    some = tokens > 0
+    owner, start, length, number, offset = packing.cut(schedule, cutter, queue[some], first[some], tokens[some])
+    places = np.sort(np.concatenate([np.arange(n) + cutter.start(np.array([s]))[0] + o for s, o, n in zip(number, offset, length)]))
+    assert (places == np.arange(totals.sum())).all() and (np.diff(owner) >= 0).all()
+    for doc, size in enumerate(tokens[some]):
+        own = owner == doc
+        assert (start[own] == np.append(0, np.cumsum(length[own]))[:-1]).all() and length[own].sum() == size
+
+
 def test_sequences_are_padded_but_for_powers_of_two(spark):
     docs = doc_table(spark, doc_rows(texts()[:20]))
     pieces = packing.pack(docs, sequence=96)
