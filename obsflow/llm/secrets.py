@@ -10,7 +10,7 @@ rule's expression. Rules whose expression demands no trigram search all document
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +51,19 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 
+_PEM = next(r.pattern for r in RULES if r.kind == "pem")
+_BREAK = r"""(?:[\s>"',#*]|\\[nr])++"""
+# After the header whatever stands before the end mark, unless another mark comes first. Without an
+# end mark the header fields, the lines of base64 and a shorter last line.
+_PEM_BLOCK = (
+    _PEM
+    + r"(?:[^-]*+(?:-(?!----(?:BEGIN|END)\x20)[^-]*+)*+-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+    + rf"|(?:(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_BREAK}[A-Za-z0-9+/]{{24,}}+={{0,2}})++"
+    + rf"(?:{_BREAK}(?:[A-Za-z0-9+/]+=+|[A-Za-z0-9+/]+(?=\s*+$|\x20*[\r\n]|\\[nr])))?)?)"
+)
+#: What is taken out of a text. A scan reports a private key by its header; here the key goes with it.
+REDACTED = tuple(replace(r, pattern=_PEM_BLOCK) if r.kind == "pem" else r for r in RULES)
+
 
 def trigram_query(pattern: str) -> list[frozenset[str]]:
     """Alternatives, each a set of lower-case trigrams; every match contains all of one of them.
@@ -186,9 +199,11 @@ def find_secrets(docs: DataFrame, rules=RULES) -> DataFrame:
     return met.select("row", "text", F.array_sort(F.concat(*each)).alias("spans"))
 
 
-def redacted(docs: DataFrame, rules=RULES) -> DataFrame:
+def redacted(docs: DataFrame, rules=REDACTED) -> DataFrame:
     """The rows of ``docs``, all columns, with every secret replaced by its kind in brackets.
 
+    Of a private key the whole block is replaced, from its header to its end
+    mark or, where that is missing, to the end of its lines of base64.
     Where spans overlap, the first one names what they cover together. A
     document without secrets stays as it is, a null text stays null; the column
     n_chars, if there is one, follows the text.
