@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsflow.llm.common import arrow_map, documents, int64, mixed, record_batch, staged
@@ -176,6 +176,25 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one row of each group: that of its smallest doc_id, then of the least hash.
+
+    Rows are judged text by text, also where a doc_id has several. A row without
+    doc_id belongs to the group of its fingerprint and stays if no row of that
+    has an id; of several such rows one stays.
+    """
+    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
+    prints = staged(docs.select("doc_id", key.alias("row_key"), fingerprint_column("text", shingle).alias("fp")), "simhash")
+    groups = fingerprint_components(prints.select("doc_id", "fp"), max_bits, segments)
+    alone = F.when(F.col("component").isNull(), F.col("fp"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = prints.join(groups, "fp").groupBy("component", alone.alias("alone")).agg(F.min(order).alias("first"))
+    # Repeated rows are cut to one per task before they are dealt.
+    repeats = Window.partitionBy("row_key").orderBy(F.xxhash64("row"))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("row_key")).withColumn("nth", F.row_number().over(repeats))
+    return rows.filter("nth = 1").join(first.select("first.row_key"), "row_key", "left_semi").select("row.*")
+
+
 @query("op4_simhash_near_dedup")
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir))

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from obsflow.llm import languages, registry
 from tests.llm import test_mixing, test_secrets, test_simhash
@@ -61,6 +63,17 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert not {300, 301, 302, 303} & {r[0] for r in before}
 
 
+def test_one_row_of_each_group_passes(spark, tmp_path):
+    """Copies as repeated rows, without ids, and under an id that has another text too."""
+    one, two, three = ("the old house by the river was sold again", "a completely different set of words here", "third text")
+    table = [(1, one), (1, one), (None, one), (2, one), (2, two), (2, two), (3, two), (None, three), (None, three), (4, None), (5, ""), (5, "")]
+    docs = doc_table(spark, [(i, t, "en", f"s{n % 2}", n) for n, (i, t) in enumerate(table)]).withColumn("row_key", F.lit(1))
+    found = corpus_pipeline.simhash_near_dedup(spark, docs, str(tmp_path))
+    assert found.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str)
+    assert kept == sorted([(1, one), (2, two), (None, three), (4, None)], key=str)
+
+
 def test_run_packs_what_is_left(spark, tmp_path):
     folder = write_documents(tmp_path, rows())
     *_, mixed = slow_stages(spark, rows())
