@@ -1,3 +1,3 @@
 """Operators for preparing training data, and the queries that apply them."""
 
-from obsflow.llm import blocks, languages, mixing, packing, preferences, secrets, simhash, spherical, substrings, syncmers, urls, whitening  # noqa: F401
+from obsflow.llm import blocks, languages, mixing, packing, preferences, repair, secrets, simhash, spherical, substrings, syncmers, urls, whitening  # noqa: F401
