@@ -11,6 +11,7 @@ name stands for two things.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ Digest = Callable[[Column], Column]
 
 def normalised(text: Column) -> Column:
     """The text without the characters that do not count; null counts as empty."""
-    return F.translate(F.coalesce(text, F.lit("")), _IGNORED, "")
+    return reduce(lambda left, c: F.replace(left, F.lit(c)), _IGNORED, F.coalesce(text, F.lit("")))
 
 
 def _blocks(text: Column, size: int) -> Column:
@@ -55,9 +56,10 @@ def name_blocks(docs: DataFrame, size: int, digest: Digest) -> DataFrame:
     the sort has compared them. Different blocks of one digest keep their
     content, by which they are told apart.
     """
-    block = F.explode(_blocks(normalised(F.col("text")), size))
+    # In a projection of its own, so that it is worked out once.
+    texts = docs.select(normalised(F.col("text")).alias("plain"))
     met = (
-        docs.select(block.alias("content"))
+        texts.select(F.explode(_blocks(F.col("plain"), size)).alias("content"))
         .groupBy(digest(F.col("content")).alias("digest"))
         .agg(F.array_sort(F.collect_set("content")).alias("contents"))
     )
@@ -75,19 +77,21 @@ def identities(docs: DataFrame, size: int = BLOCK, digest: Digest = F.xxhash64)
     names = name_blocks(docs, size, digest)
     # Only where a digest has several blocks are contents needed to find the name.
     shared = not names.filter("content IS NOT NULL").isEmpty()
-    text = normalised(F.col("text"))
+    texts = docs.select(
+        "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("chars"), normalised(F.col("text")).alias("plain")
+    )
 
     def described(block: Column) -> Column:
         own = block if shared else F.lit(None).cast("string")
         return F.struct(digest(block).alias("digest"), own.alias("own"))
 
     rows = staged(
-        docs.select(
+        texts.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
-            F.coalesce(F.length("text"), F.lit(0)).alias("chars"),
-            F.sha2(text, 256).alias("text_sha256"),
-            F.transform(_blocks(text, size), described).alias("blocks"),
+            "chars",
+            F.sha2("plain", 256).alias("text_sha256"),
+            F.transform(_blocks(F.col("plain"), size), described).alias("blocks"),
         ),
         "block-rows",
     )
