@@ -24,12 +24,17 @@ _MOST_STRINGS = 64
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: matches of the pattern whose ``group`` has at least ``least`` characters."""
+    """A kind of secret: matches of the pattern whose ``group`` has at least ``least`` characters.
+
+    ``search`` finds the same matches as its second group, behind a first one,
+    for a pattern whose plain search can take the square of a text's length.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
+    search: str | None = None
 
 
 def _either_case(word: str) -> str:
@@ -39,14 +44,19 @@ def _either_case(word: str) -> str:
 
 _NAMES = "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
 
+_PART = "[A-Za-z0-9_-]"
+_JWT = rf"eyJ{_PART}+\.eyJ{_PART}+\.{_PART}+"
+# At the start of a run of these characters alone, and only where the rest of a token stands behind the run.
+_JWT_SEARCH = rf"(?<!{_PART})(?={_PART}++\.eyJ{_PART}++\.{_PART})({_PART}*?)({_JWT})"
+
 # The first three kinds are the base, in their order. A run of 24 or more hexadecimal
 # digits is a match of [0-9a-f]+ with 24 characters or more, since those matches are whole runs.
 RULES = (
     Rule("assign", rf"""(?:{_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("jwt", _JWT, search=_JWT_SEARCH),
+    Rule("pem", r"-----BEGIN (?:[A-Z ]* )?PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 BASE = ("assign", "access", "hex")
@@ -57,7 +67,7 @@ _BREAK = r"""(?:[\s>"',#*]|\\[nr])++"""
 # end mark the header fields, the lines of base64 and a shorter last line.
 _PEM_BLOCK = (
     _PEM
-    + r"(?:[^-]*+(?:-(?!----(?:BEGIN|END)\x20)[^-]*+)*+-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+    + r"(?:[^-]*+(?:-(?!----(?:BEGIN|END)\x20)[^-]*+)*+-----END (?:[A-Z ]* )?PRIVATE KEY-----"
     + rf"|(?:(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_BREAK}[A-Za-z0-9+/]{{24,}}+={{0,2}})++"
     + rf"(?:{_BREAK}(?:[A-Za-z0-9+/]+=+|[A-Za-z0-9+/]+(?=\s*+$|\x20*[\r\n]|\\[nr])))?)?)"
 )
@@ -158,23 +168,25 @@ def _spans(rule: Rule, number: int) -> Column:
     Splitting the text at the matches gives the stretches between them, so the
     places follow from lengths.
     """
-    pattern = F.lit(rule.pattern)
-    matches = F.regexp_extract_all("text", pattern, F.lit(0))
-    measured = F.regexp_extract_all("text", pattern, F.lit(rule.group))
-    between = F.slice(F.split(F.col("text"), rule.pattern, -1), 1, F.size(matches))
-    steps = F.arrays_zip(between.alias("gap"), matches.alias("hit"), measured.alias("part"))
+    pattern = rule.search or rule.pattern
+    whole = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    matches = F.regexp_extract_all("text", F.lit(pattern), F.lit(2)) if rule.search else whole
+    measured = matches if rule.search else F.regexp_extract_all("text", F.lit(pattern), F.lit(rule.group))
+    between = F.slice(F.split(F.col("text"), pattern, -1), 1, F.size(whole))
+    steps = F.arrays_zip(between.alias("gap"), whole.alias("whole"), matches.alias("hit"), measured.alias("part"))
     empty = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
 
     def add(done: Column, step: Column) -> Column:
-        start = done["at"] + F.length(step["gap"])
-        end = start + F.length(step["hit"])
+        # The match is the end of what is searched for.
+        end = done["at"] + F.length(step["gap"]) + F.length(step["whole"])
+        start = end - F.length(step["hit"])
         span = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.lit(rule.kind).alias("kind"))
         more = F.when(F.length(step["part"]) >= rule.least, F.concat(done["spans"], F.array(span))).otherwise(done["spans"])
         return F.struct(end.alias("at"), more.alias("spans"))
 
     first = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
     found = F.aggregate(steps, first, add, lambda done: done["spans"])
-    return F.when(F.regexp_like("text", pattern), found).otherwise(empty)
+    return F.when(F.regexp_like("text", F.lit(pattern)), found).otherwise(empty)
 
 
 def find_secrets(docs: DataFrame, rules=RULES) -> DataFrame:

@@ -123,6 +123,39 @@ def test_private_keys_go_whole(spark):
     assert [r["n_chars"] for r in found] == [len(t) for t in cases.values()]
 
 
+LONG = 1 << 20
+HOSTILE = [
+    unit * (LONG // len(unit))
+    for unit in ("token", "token ", "secret=", "api_key", "AKIA", "AKIA1", "deadbeef", "deadbeef ", "eyJ", "-----BEGIN ", "-----BEGIN A ", "AB ", "PRIVATE KEY-----", "ghp_", "ghp_a", "A", " ", "-", "-----END ", "\n")
+] + [
+    # Spans of one text are listed one after the other, at a cost that grows with the square of their number.
+    "secret= " * 2000, "eyJa.eyJ" * 2000, "eyJa." * 2000,
+    "-----BEGIN " + "AB " * (LONG // 3) + "x PRIVATE KEY-----", "-----BEGIN " + " PRIVATE KEY" * (LONG // 12) + "----",
+    "token" + " " * LONG + "=abcdefgh", "secret=" + "a" * LONG, "gh" + "p_" + "a" * LONG, "eyJ" * (LONG // 3) + ".eyJ" + "a" * LONG,
+    "-----BEGIN PRIVATE KEY-----" + "- " * (LONG // 2), "-----BEGIN PRIVATE KEY-----\n" + "QUJD" * (LONG // 4),
+]
+
+
+@pytest.mark.parametrize("rules", [secrets.RULES, secrets.REDACTED], ids=["scan", "redaction"])
+def test_hostile_long_texts(spark, rules):
+    rows = doc_rows(HOSTILE)
+    found = {r["row"]["doc_id"]: r["spans"] for r in secrets.find_secrets(doc_table(spark, rows).repartition(8), rules).collect()}
+    assert set(found) == {r[0] for r in rows}
+    long_values = [s for s in found.values() if s and s[0]["end"] > LONG]
+    assert long_values
+    cleaned = secrets.redacted(doc_table(spark, rows).repartition(8), rules).count()
+    assert cleaned == len(rows)
+
+
+def test_tokens_are_found_as_by_the_plain_pattern(spark):
+    dice = random.Random(3)
+    some = ["".join(dice.choices(["eyJ", "a", ".", "x-", " ", "é", "eyJb.eyJc.d"], k=dice.randrange(1, 14))) for _ in range(400)]
+    rule = next(r for r in secrets.RULES if r.kind == "jwt")
+    found = {r["row"]["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in secrets.find_secrets(doc_table(spark, doc_rows(some)), [rule]).collect()}
+    assert found == {i: [m.span() for m in re.finditer(rule.pattern, t)] for i, t in enumerate(some)}
+    assert sum(map(len, found.values())) > 50
+
+
 def test_blocks_are_found_by_the_header_in_the_index():
     by_kind = [{r.kind: r.pattern for r in rules}["pem"] for rules in (secrets.RULES, secrets.REDACTED)]
     header, block = (set(secrets.trigram_query(p)) for p in by_kind)
