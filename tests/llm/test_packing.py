@@ -164,3 +164,10 @@ def test_weights_and_odd_rows(spark):
     assert packing.pack(docs.limit(0)).collect() == []
     with pytest.raises(ValueError):
         packing.pack(docs, weights={str(i): 1 for i in range(2000)})
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", "\r\n", " \n", "\u00a0", "a", "7", "!", "é", "漢", "a "])
+def test_long_runs_of_every_class(unit):
+    model = packing.Encoder(packing.VOCABULARY)
+    for text in (unit * (2_000_000 // len(unit)), "x" + unit * 9000 + "y"):
+        assert model.ids(text).tolist() == model.exact.encode(text, add_special_tokens=False).ids
