@@ -541,7 +541,9 @@ def without_repeats(
     """
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     found = repeated_windows(rows, shard_bytes, crowded, sample)
-    per_text = found.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "mask")).alias("places"))
+    # Copies of a row find the same places, so a place is gathered once, however many rows repeat.
+    once = found.groupBy("doc_id", "text_key", "first").agg(F.bit_or("mask").alias("mask"))
+    per_text = once.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "mask")).alias("places"))
     per_text = per_text.withColumnsRenamed({"doc_id": "id", "text_key": "key"})
     own = (F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("id")) & (F.crc32("text") == F.col("key"))
     joined = rows.join(per_text, own, "left").select("doc_id", "text", "places")

@@ -140,3 +140,13 @@ def test_automaton_knows_the_first_document_of_each_window():
 def test_corpus_documents_equal_brute_force(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert as_rows(registry.queries()["op3_substring_dedup"](spark, sf_dir)) == sorted(slow(rows), key=str)
+
+
+def test_many_rows_of_one_id_and_text(spark):
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(0, text, "en", "s", 1), *[(None, text, "en", "s", 1)] * 500, *[(7, text, "en", "s", 1)] * 500]
+    docs = doc_table(spark, rows)
+    found = substrings.without_repeats(docs).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(map(tuple, found), key=str) == [(0, 300, 0, 1), (7, 300, 300, 500), (None, 300, 300, 500)]
+    places = substrings.repeated_windows(docs.select("doc_id", F.col("text").cast("binary").alias("text")), substrings.SHARD_BYTES, substrings.CROWDED, substrings.SAMPLE)
+    assert places.groupBy("doc_id", "text_key", "first").count().filter("count > 1").count() > 0
