@@ -14,15 +14,20 @@ above the height are listed block by block without looking at the others. The he
 the dimension and these parameters alone: seeded pairs at exactly the threshold
 are drawn, and the height is the one at which ``recall`` of them share a cap.
 
-More words make smaller caps, at about the same number of caps per vector: the
-share of all vectors that a vector is compared with, about a hundredth with 256
-words in 64 dimensions, falls with them.
+More words make smaller caps: in 64 dimensions a vector lies in some 20 caps with
+256 words and in some 90 with 4,096, 256 times as many directions, and the share
+of all vectors that it is compared with, about a hundredth with 256 words, falls
+accordingly. So directions are in proportion to the
+vectors (``words_for``), and a vector is compared with about as many others in a
+large table as in a small one.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +35,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.llm.common import arrow_map, int64, record_batch, staged
-from obsflow.llm.components import Forest, cells, components, pairs_within, whole_cells
+from obsflow.llm.components import Forest, cells, components, whole_cells
 from obsflow.llm.registry import query
 
 THRESHOLD = 0.9
 RECALL = 0.995
-WORDS = 256
-CELL_ROWS = 4096
+#: Words per block for so many vectors; directions, their square, grow in proportion.
+WORDS, WORDS_VECTORS = 256, 10_000
+CELL_ROWS = 1024
 _SEED = 20161
 _TRIALS = 400
 _VECTORS_AT_ONCE = 2048
+_SCORES_AT_ONCE = _PRODUCTS_AT_ONCE = 1 << 20
+#: Products of blocks of vectors are as near to the plain sums as this; close calls are summed plainly.
+_ROUNDING = 1e-9
 
 
 @dataclass(frozen=True)
@@ -78,6 +87,14 @@ class ProductCode:
             rows, codes, sums = rows[at], codes[at] * score.shape[1] + word, total[at, word]
         return rows, codes
 
+    def sums(self, unit: np.ndarray, rows: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What the directions listed with their rows give, as shares of the vector's best one."""
+        total, codes = np.zeros(len(rows)), codes.copy()
+        for score in reversed(self.scores(unit)):
+            total += score[rows, codes % score.shape[1]]
+            codes //= score.shape[1]
+        return total
+
 
 @lru_cache
 def caps(dimension: int, words: int, threshold: float, recall: float) -> tuple[ProductCode, float]:
@@ -90,11 +107,19 @@ def caps(dimension: int, words: int, threshold: float, recall: float) -> tuple[P
     away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
     y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * away
     code = ProductCode.of(dimension, words)
-    best = [
-        np.minimum(*(reduce(np.add.outer, scores) for scores in pair)).max()
-        for pair in zip(zip(*code.scores(x)), zip(*code.scores(y)))
-    ]
-    return code, float(np.quantile(best, 1 - recall, method="lower"))
+    for floor in np.arange(0.95, -1.0, -0.05):
+        rows, codes = code.decode(x, float(floor))
+        best = np.full(_TRIALS, -1.0)
+        np.maximum.at(best, rows, np.minimum(code.sums(x, rows, codes), code.sums(y, rows, codes)))
+        height = float(np.quantile(best, 1 - recall, method="lower"))
+        if height >= floor:
+            break
+    return code, height
+
+
+def words_for(vectors: int) -> int:
+    """Words per block, so that directions are in proportion to the vectors; for less than ten thousand as for these."""
+    return max(WORDS, math.ceil(WORDS * math.sqrt(vectors / WORDS_VECTORS)))
 
 
 def _vectors(batch: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
@@ -115,16 +140,18 @@ def _by_dimension(vectors: list[np.ndarray]):
         yield int(size), rows, some / np.linalg.norm(some, axis=1, keepdims=True)
 
 
-def _filters(words: int, threshold: float, recall: float):
+def _filters(words: int, threshold: float, recall: float, kind: str):
+    numbers = pa.list_(pa.float32() if kind == "float" else pa.float64())
     schema = pa.schema([
         ("key", pa.int64()), ("nth", pa.int32()), ("node", pa.int64()), ("copies", pa.int64()),
-        ("filters", pa.list_(pa.int64())), ("embedding", pa.list_(pa.float32())),
+        ("filters", pa.list_(pa.int64())), ("embedding", numbers),
     ])
+    at_once = max(1, min(_VECTORS_AT_ONCE, _SCORES_AT_ONCE // words))
 
     def step(batches):
         for whole in batches:
-            for begin in range(0, whole.num_rows, _VECTORS_AT_ONCE):
-                batch = whole.slice(begin, _VECTORS_AT_ONCE)
+            for begin in range(0, whole.num_rows, at_once):
+                batch = whole.slice(begin, at_once)
                 for size, rows, unit in _by_dimension(_vectors(batch)):
                     directions, height = caps(size, words, threshold, recall)
                     row, key = directions.decode(unit, height)
@@ -137,7 +164,7 @@ def _filters(words: int, threshold: float, recall: float):
                     take = pa.array(rows[row])
                     yield record_batch(
                         schema, key, nth, batch.column("node").take(take), batch.column("copies").take(take),
-                        lists.take(pa.array(row)), batch.column("embedding").cast(pa.list_(pa.float32())).take(take),
+                        lists.take(pa.array(row)), batch.column("embedding").cast(numbers).take(take),
                     )
 
     return step
@@ -152,6 +179,32 @@ def _shared_earlier(lists: np.ndarray, nth: np.ndarray, i: np.ndarray, j: np.nda
     return found
 
 
+def _close_pairs(
+    cell: np.ndarray, part: np.ndarray, unit: np.ndarray, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows of one cell whose cosine is the threshold but for rounding, or more; some rows against a cell at a time.
+
+    In a cell of two parts the pairs of one part are left out; they meet in the
+    cell of that part alone.
+    """
+    starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    for start, end in zip(starts, np.r_[starts[1:], len(cell)]):
+        two_parts = part[start:end].min() != part[start:end].max()
+        step = max(1, _PRODUCTS_AT_ONCE // (end - start))
+        for begin in range(start, end - 1, step):
+            stop = min(begin + step, end)
+            cosines = unit[begin:stop] @ unit[begin + 1 : end].T
+            # Row i stands against those behind it.
+            behind = np.arange(begin + 1, end) > np.arange(begin, stop)[:, None]
+            i, j = np.nonzero((cosines >= threshold - _ROUNDING) & behind)
+            i, j = i + begin, j + begin + 1
+            if two_parts:
+                apart = part[i] != part[j]
+                i, j = i[apart], j[apart]
+            if len(i):
+                yield i, j
+
+
 def _verified(threshold: float):
     schema = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
 
@@ -171,7 +224,7 @@ def _verified(threshold: float):
                     unit = np.pad(unit, ((0, 0), (0, size - unit.shape[1])))
                 unit[at, :size], sizes[at] = some, size
             links, forest = np.zeros(len(cell), np.int64), Forest(len(cell))
-            for i, j in pairs_within(cell, part):
+            for i, j in _close_pairs(cell, part, unit, threshold):
                 near = np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold
                 near &= sizes[i] == sizes[j]
                 i, j = i[near], j[near]
@@ -197,7 +250,7 @@ def comparable(embedding: str) -> Column:
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS
+    vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int | None = None
 ) -> DataFrame:
     """(vec_id, n_links, component_id) of every row of ``vectors`` (vec_id, embedding; other columns are not looked at).
 
@@ -205,21 +258,26 @@ def near_duplicates(
     found with probability ``recall``, closer ones more surely. Equal vectors
     are one node with a number of copies, so a group of copies costs one row.
 
+    Components count as they come, single or double precision; cosines are in
+    double precision. Without ``words`` their number follows the table's size.
+
     Vectors that are null, empty, zero, or hold null or non-finite components
     link with nothing and are their own component; so do vectors without id,
     whose component is null. Vectors of different dimensions do not link. A
     repeated row is another vector with the same id. An empty table gives no
     rows.
     """
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    # Components stay as exact as they come: single precision for such a column, double for any other.
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select("vec_id", F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     usable = rows.filter(comparable("embedding") & F.col("vec_id").isNotNull())
     nodes = staged(
         usable.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "vectors"
     )
     # Different vectors of one id share a node; that links them as one id must.
     filtered = arrow_map(
-        nodes, _filters(words, threshold, recall),
-        "key bigint, nth int, node bigint, copies bigint, filters array<bigint>, embedding array<float>",
+        nodes, _filters(words or words_for(nodes.count()), threshold, recall, kind),
+        f"key bigint, nth int, node bigint, copies bigint, filters array<bigint>, embedding array<{kind}>",
     )
     dealt = cells(filtered, F.col("key"), F.hash("embedding"), CELL_ROWS)
     found = staged(arrow_map(dealt, _verified(threshold), "node bigint, root bigint, links bigint"), "links")

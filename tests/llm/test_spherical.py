@@ -91,3 +91,27 @@ def test_odd_rows(spark):
         key=str,
     )
     assert spherical.near_duplicates(odd.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("words", [64, 1024, 4096])
+def test_recall_with_any_number_of_words(words):
+    dice = np.random.default_rng(6)
+    x = dice.standard_normal((1000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = dice.standard_normal(x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(0.19) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    code, level = spherical.caps(64, words, 0.9, 0.995)
+    own = [set(zip(*(c.tolist() for c in code.decode(v, level)))) for v in (x, y)]
+    assert len({row for row, _ in own[0] & own[1]}) >= 0.98 * len(x)
+    assert len(own[0]) < 100 * len(x)
+
+
+def test_words_follow_the_vectors():
+    assert [spherical.words_for(n) for n in (0, 10_000, 40_000, 10**9)] == [256, 256, 512, 80_955]
+
+
+def test_components_in_double_precision(spark):
+    rows = [(1, [1e300, 0.0]), (2, [2e300, 0.0]), (3, [1e-60, 0.0]), (4, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [0.0, 1e-320])]
+    found = spherical.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, found)) == [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1), (5, 1, 5), (6, 1, 5)]
