@@ -101,7 +101,7 @@ def _server(spark, layout: jobs.Layout, args: argparse.Namespace):
 
 
 def _page(spark, layout: jobs.Layout, args: argparse.Namespace) -> str:
-    table = spark.read.parquet(layout.gold(args.name))
+    table = jobs.read_gold(spark, layout, args.name)
     page = paging.Page.of(args.limit, args.offset)
     return paging.gold_json_page(
         table, args.name, page, getattr(args, "from"), args.to

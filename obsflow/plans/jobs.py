@@ -17,8 +17,8 @@ from obsflow.operators.latest import merge_latest
 from obsflow.operators.rejects import REASON, rejected, valid
 from obsflow.plans import gold, silver
 from obsflow.schemas import EVENT_ENVELOPE, FLARE, OBSERVATION, RAW_OBSERVATION
-from obsflow.sinks.catalog import publish, register
-from obsflow.sinks.files import recover, replace_parquet, replace_partitions, write_parquet
+from obsflow.sinks.catalog import publish, register_view
+from obsflow.sinks.files import recover, replace_parquet, replace_partitions, staged, write_parquet
 from obsflow.sinks.jdbc import write_database
 from obsflow.sources.archive_csv import read_export
 from obsflow.sources.feeds import LANDED, parse_payloads, read_payloads, stream_payloads
@@ -36,6 +36,11 @@ _TYPED_FLARE = T.StructType(
 )
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
+_CHANGE = T.StructType([*FLARE.fields, T.StructField("change", T.IntegerType())])
+
+#: Folders by hash of obs_id of contaminated_obs, the unit that a refresh rewrites. More for larger tables.
+GOLD_BUCKETS = 64
+
 GOLD = ("contaminated_obs", "narrow_band_targets", "instrument_calibration", "sky_coverage")
 
 
@@ -104,9 +109,14 @@ class Layout:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    @property
+    def flare_changes(self) -> str:
+        """The flares that each refresh of silver flares added and withdrew, by its version."""
+        return f"{self.root}/silver/flare_changes"
+
     @property
     def contaminated_basis(self) -> str:
-        """The scored flares that contaminated_obs was last computed from."""
+        """The version of the flare changes that contaminated_obs has taken in, and its number of buckets."""
         return f"{self.root}/gold/contaminated_obs_basis"
 
     def work(self, name: str) -> str:
@@ -269,9 +279,12 @@ def refresh_flares(
     spark: SparkSession, layout: Layout, class_keys: Sequence[str] = ("xray_class",)
 ) -> int:
     """Silver flares and their rejects, from all of bronze."""
+    recover(spark, layout.flares_all)
     with _worked(spark, layout, "flares") as work:
         write_parquet(_dated_flares(read_events(spark, layout), class_keys), work)
         made = _judged_flares(spark.read.schema(_TYPED_FLARE).parquet(work))
+        before = read_or_empty(spark, layout.flares, FLARE)
+        _note_changes(spark, layout, before.select(FLARE.fieldNames()), valid_flares(made))
         replace_parquet(made.hint("rebalance", *FLARE_PARTITION), layout.flares_all, by=FLARE_PARTITION)
     paths.delete(spark, layout.changed_days)
     return silver_flares(spark, layout).count()
@@ -299,6 +312,8 @@ def refresh_changed_flares(
             if not typed.filter("flare_date IS NULL").isEmpty():
                 return refresh_flares(spark, layout, class_keys)
             made = _judged_flares(typed)
+            before = _of_days(_flares_by_day(spark, layout), noted, ["event_date"])
+            _note_changes(spark, layout, before.select(FLARE.fieldNames()), valid_flares(made))
             replace_partitions(made, layout.flares_all, FLARE_PARTITION)
             # A day that has no row of a kind any more keeps no folder of it. One row per day.
             days = {r[0] for r in noted.collect()}
@@ -311,6 +326,41 @@ def refresh_changed_flares(
     return silver_flares(spark, layout).count()
 
 
+def valid_flares(judged: DataFrame) -> DataFrame:
+    return judged.filter("status = 'valid'").select(FLARE.fieldNames())
+
+
+def _flares_by_day(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Silver flares with the day of their folder as event_date."""
+    dated = T.StructType([*FLARE.fields, T.StructField("flare_date", T.DateType())])
+    return read_or_empty(spark, layout.flares, dated).withColumnRenamed("flare_date", "event_date")
+
+
+def _note_changes(spark: SparkSession, layout: Layout, before: DataFrame, after: DataFrame) -> None:
+    """Append what tells two versions of some flares apart to the change feed.
+
+    The feed is written before silver is, so a run that breaks off in between
+    notes the same changes again; who reads the feed takes a change in twice
+    without harm.
+    """
+    sides = before.withColumn("change", F.lit(-1)).unionByName(after.withColumn("change", F.lit(1)))
+    net = sides.groupBy(*FLARE.fieldNames()).agg(F.sum("change").cast("int").alias("change")).filter("change <> 0")
+    version = last_change(spark, layout) + 1
+    write_parquet(net.select(_CHANGE.fieldNames()), f"{layout.flare_changes}/version={version}")
+
+
+def last_change(spark: SparkSession, layout: Layout) -> int:
+    """The newest version of the change feed, 0 without any."""
+    folders = paths.siblings(spark, layout.flare_changes, "/version=*")
+    return max((int(f.rpartition("=")[2]) for f in folders if paths.path_exists(spark, f"{f}/_SUCCESS")), default=0)
+
+
+def flare_changes(spark: SparkSession, layout: Layout, after: int, to: int) -> DataFrame:
+    """The changes of the versions behind ``after`` up to ``to``; only their folders are read."""
+    folders = [f"{layout.flare_changes}/version={v}" for v in range(after + 1, to + 1)]
+    return spark.read.schema(_CHANGE).parquet(*folders)
+
+
 def _dated_flares(events: DataFrame, class_keys: Sequence[str]) -> DataFrame:
     """Typed flares with the day of their event, null for valid ones that start on another day."""
     typed = silver.typed_flares(events, class_keys, keep=["event_date"])
@@ -353,41 +403,88 @@ def gold_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 
 def refresh_gold(
-    spark: SparkSession, layout: Layout, name: str, database: str = "gold"
+    spark: SparkSession, layout: Layout, name: str, database: str = "gold", buckets: int = GOLD_BUCKETS
 ) -> int:
-    """Compute a gold table and publish it in the catalog."""
-    rows = publish(gold_table(spark, layout, name), f"{database}.{name}", layout.gold(name))
-    if name == "contaminated_obs":
-        replace_parquet(scored_flares(spark, layout), layout.contaminated_basis)
+    """Compute a gold table and publish it in the catalog.
+
+    contaminated_obs lies in ``buckets`` folders by hash of obs_id, each row with
+    the start of its flare, so that ``refresh_contaminated`` can go on from it.
+    """
+    if name != "contaminated_obs":
+        return publish(gold_table(spark, layout, name), f"{database}.{name}", layout.gold(name))
+    # Changes that come while this runs are taken in twice, which does no harm.
+    version = last_change(spark, layout)
+    made = gold.worst_flares(silver_observations(spark, layout), scored_flares(spark, layout))
+    path = layout.gold(name)
+    rows = replace_parquet(_bucketed(made, buckets).hint("rebalance", _BUCKET), path, by=[_BUCKET])
+    register_view(spark, f"{database}.{name}", path, gold.CONTAMINATED)
+    _remember(spark, layout, version, buckets)
     return rows
 
 
+_BUCKET = "obs_bucket"
+_BASIS = T.StructType([T.StructField("version", T.IntegerType()), T.StructField("buckets", T.IntegerType())])
+_STORED = T.StructType(
+    [*(f for f in OBSERVATION.fields if f.name in ("obs_id", "t_start", "t_end")), T.StructField("flare_class", T.StringType()),
+     T.StructField("risk_score", T.IntegerType()), T.StructField("flare_start", T.TimestampType()),
+     T.StructField(_BUCKET, T.IntegerType())]
+)
+
+
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn(_BUCKET, F.pmod(F.xxhash64("obs_id"), F.lit(buckets)).cast("int"))
+
+
+def _remember(spark: SparkSession, layout: Layout, version: int, buckets: int) -> None:
+    state = spark.createDataFrame([(version, buckets)], _BASIS).coalesce(1)
+    replace_parquet(state, layout.contaminated_basis)
+
+
+def read_gold(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """A gold table as its readers see it."""
+    table = read_parquet(spark, layout.gold(name))
+    return table.select(*gold.CONTAMINATED) if _BUCKET in table.columns else table
+
+
 def refresh_contaminated(spark: SparkSession, layout: Layout, database: str = "gold") -> int:
-    """B6 after new flares: the rows of refresh_gold, computed for touched observations only.
+    """B6 after new flares: the rows of refresh_gold, from what changed since the table was last refreshed.
 
-    The flares at hand are compared with those that the table was computed
-    from. The latter are replaced last, so a run that broke off is made up for
-    by the next one.
+    The change feed of silver flares says which flares came and went. A flare
+    that came competes with the row at hand; only observations that lose their
+    worst flare are computed again (``gold.maintained``). Of the table, the
+    buckets with a changed row are read and replaced. What was taken in is
+    noted last, so a run that broke off is made up for by the next one.
     """
     name = "contaminated_obs"
-    path, table = layout.gold(name), f"{database}.{name}"
+    path = layout.gold(name)
     for target in (path, layout.contaminated_basis):
         recover(spark, target)
-    if not paths.path_exists(spark, layout.contaminated_basis):
+    newest = last_change(spark, layout)
+    basis = read_or_empty(spark, layout.contaminated_basis, _BASIS)
+    known = basis.dropna().first()
+    # Without a feed nothing says what changed.
+    if not known or not newest:
         return refresh_gold(spark, layout, name, database)
-    observations, after = silver_observations(spark, layout), scored_flares(spark, layout)
-    before = spark.read.parquet(layout.contaminated_basis)
-    current = spark.read.parquet(path)
-    with _worked(spark, layout, "touched") as work:
-        if write_parquet(gold.touched_obs(observations, before, after), work) == 0:
-            register(spark, table, path)
-            return current.count()
-        touched = spark.read.parquet(work)
-        rows = publish(
-            gold.update_contaminated(current, observations, after, touched), table, path
-        )
-        replace_parquet(after, layout.contaminated_basis)
-        return rows
+    version, buckets = known
+    current = read_or_empty(spark, path, _STORED)
+    register_view(spark, f"{database}.{name}", path, gold.CONTAMINATED)
+    if newest > version:
+        observations, scored = silver_observations(spark, layout), scored_flares(spark, layout)
+        feed = flare_changes(spark, layout, version, newest)
+        added, withdrawn = (staged(c, "changes") for c in gold.changes(feed, scored))
+        losing = staged(gold.losing_obs(current, withdrawn), "losing")
+        changed = staged(_bucketed(gold.maintained(current.drop(_BUCKET), observations, scored, added, losing), buckets), "changed")
+        gone = _bucketed(losing, buckets).unionByName(changed.select("obs_id", _BUCKET)).distinct()
+        touched = [r[0] for r in gone.select(_BUCKET).distinct().collect()]
+        if touched:
+            kept = current.filter(F.col(_BUCKET).isin(touched)).join(gone.select("obs_id"), "obs_id", "left_anti")
+            left = {r[0] for r in changed.select(_BUCKET).union(kept.select(_BUCKET)).distinct().collect()}
+            replace_partitions(kept.unionByName(changed), path, [_BUCKET])
+            for bucket in set(touched) - left:
+                paths.delete(spark, f"{path}/{_BUCKET}={bucket}")
+            spark.catalog.refreshByPath(path)
+        _remember(spark, layout, newest, buckets)
+    return read_or_empty(spark, path, _STORED).count()
 
 
 def register_silver(spark: SparkSession, layout: Layout, database: str = "silver") -> None:
@@ -402,7 +499,7 @@ def serve(spark: SparkSession, layout: Layout, name: str, dsn: str, table: str)
     The table is read from its path, which any process finds, not from the
     catalog of the one that made it.
     """
-    return write_database(read_parquet(spark, layout.gold(name)), dsn, table)
+    return write_database(read_gold(spark, layout, name), dsn, table)
 
 
 def refresh_all(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow import paths
+from obsflow.session import scratch_path
 
 # Keeps files near a gigabyte for the row widths at hand.
 ROWS_PER_FILE = 10_000_000
@@ -20,6 +21,16 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, so that later steps read files instead of computing them again.
+
+    Every executor reaches that folder: a lost one costs its running tasks.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
     """K1, K5: overwrite a path that ``df`` does not read; gives the rows written."""
     rows, observation = counted(df)

@@ -4,7 +4,7 @@ import glob
 import json
 import os
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,7 +132,7 @@ def test_incremental_equals_full(spark, inputs):
     for n, seed in ((20, 1), (60, 2), (60, 2), (10, 4), (80, 5)):
         write_flares(n, seed)
         written = jobs.refresh_contaminated(spark, layout)
-        got = spark.read.parquet(layout.gold("contaminated_obs"))
+        got = jobs.read_gold(spark, layout, "contaminated_obs")
         want = jobs.gold_table(spark, layout, "contaminated_obs")
         assert sorted(rows(got)) == sorted(rows(want))
         assert written == got.count() > 0
@@ -196,7 +196,7 @@ def test_t3_stream_refresh(spark, inputs, tmp_path):
         stream_payloads(spark, str(landing)), layout, str(tmp_path / "c"), after_gold=done.append
     ).awaitTermination()
     assert done == ["contaminated_obs"]
-    assert [r["obs_id"] for r in spark.read.parquet(layout.gold("contaminated_obs")).collect()] == ["o2"]
+    assert [r["obs_id"] for r in jobs.read_gold(spark, layout, "contaminated_obs").collect()] == ["o2"]
 
 
 def test_t2_t4_streams_over_several_batches(spark, tmp_path):
@@ -350,3 +350,65 @@ def test_a_table_in_the_middle_of_a_swap_is_no_empty_table(spark, tmp_path):
     spark.range(3).write.parquet(f"{path}.previous-abc")
     with pytest.raises(FileNotFoundError):
         read_or_empty(spark, path, schema)
+
+
+def test_ticks_equal_full_and_touch_few_buckets(spark, inputs):
+    """Random flares come, are corrected and withdrawn by payloads; after every tick gold is what a full run gives."""
+    _, _, landing, layout = inputs
+    rng = random.Random(12)
+    hour = 3600
+    base = 1_714_521_600  # 2024-05-01
+    spans = [(f"o{i % 150}", s := base + rng.randrange(0, 400) * hour, s + rng.randrange(0, 9) * hour) for i in range(200)]
+    obs = spark.createDataFrame(spans, "obs_id string, s long, e long")
+    obs.select(
+        "obs_id", F.timestamp_seconds("s").alias("t_start"), F.timestamp_seconds("e").alias("t_end")
+    ).write.parquet(layout.observations)
+
+    def iso(seconds):
+        return datetime.fromtimestamp(seconds, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+    def files():
+        path = layout.gold("contaminated_obs")
+        return {b: sorted(os.listdir(f"{path}/{b}")) for b in os.listdir(path) if b.startswith("obs_bucket")}
+
+    def tick(number, starts):
+        records = []
+        for start in starts:
+            kind = rng.choice(["A1.0", "B2.0", "C3.0", "M4.0", "X5.0", None])
+            begin = base + start * hour
+            records.append({"begin_time": iso(begin), "end_time": iso(begin + rng.randrange(0, 5) * hour), "xray_class": kind})
+        land(landing, f"{number}.json", records)
+        os.utime(f"{landing}/solar_flares/{number}.json", (1_720_000_000 + number,) * 2)
+        counts = jobs.refresh_incremental(spark, layout, str(landing))
+        got = jobs.read_gold(spark, layout, "contaminated_obs")
+        assert sorted(rows(got)) == sorted(rows(jobs.gold_table(spark, layout, "contaminated_obs")))
+        assert counts["contaminated_obs"] == got.count()
+        assert rows(spark.table("gold.contaminated_obs").select("obs_id"), "obs_id") == rows(got.select("obs_id"), "obs_id")
+
+    tick(0, range(0, 400, 5))
+    for number in range(1, 5):
+        tick(number, rng.sample(range(400), 12))
+    before = files()
+    tick(5, [200])
+    after = files()
+    assert len(before) > 30
+    assert sum(after.get(b) != names for b, names in before.items()) <= 6
+    # Nothing new, nothing rewritten; what a broken-off run noted twice changes nothing either.
+    jobs.refresh_incremental(spark, layout, str(landing))
+    assert files() == after
+    version = jobs.last_change(spark, layout)
+    feed = jobs.flare_changes(spark, layout, 0, version).withColumn("change", F.lit(1))
+    feed.write.parquet(f"{layout.flare_changes}/version={version + 1}")
+    want = sorted(rows(jobs.gold_table(spark, layout, "contaminated_obs")))
+    jobs.refresh_contaminated(spark, layout)
+    assert sorted(rows(jobs.read_gold(spark, layout, "contaminated_obs"))) == want
+
+
+def test_a_tick_reads_the_changes_behind_the_last_one(spark, inputs):
+    _, _, landing, layout = inputs
+    for number in range(3):
+        land(landing, f"{number}.json", [{"begin_time": f"2024-05-0{number + 1}T0{h}:00:00Z", "xray_class": "M1.0"} for h in range(4)])
+        jobs.ingest_landed(spark, layout, str(landing))
+        jobs.refresh_changed_flares(spark, layout)
+    assert jobs.last_change(spark, layout) == 3
+    assert [jobs.flare_changes(spark, layout, v, 3).count() for v in (0, 1, 2)] == [12, 8, 4]

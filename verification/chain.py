@@ -212,7 +212,7 @@ def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     for tick in range(2):
         _land(flares.filter(F.col("o_custkey") % 2 == tick), landing, F.trunc("begin", "month"))
         jobs.refresh_incremental(spark, layout, landing)
-    return plain(spark.read.parquet(layout.gold("contaminated_obs")))
+    return plain(jobs.read_gold(spark, layout, "contaminated_obs"))
 
 
 @query(
@@ -236,4 +236,4 @@ def refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = _reports(orders.select(F.year("begin").alias("year"), F.lit(0).alias("part"), line.alias("line")))
     layout = _layout(spark)
     jobs.refresh_all(spark, layout, reports, 1900, 2100, raw=raw_observations(spark, sf_dir))
-    return plain(spark.read.parquet(layout.gold("contaminated_obs")))
+    return plain(jobs.read_gold(spark, layout, "contaminated_obs"))

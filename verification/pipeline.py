@@ -154,9 +154,15 @@ def contaminated_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = F.col("flare_start") < F.lit("1999-01-01").cast("timestamp")
     corrected = F.when(F.col("flare_class").startswith("X1"), 0).otherwise(F.col("risk_score"))
     before = after.filter(later).withColumn("risk_score", corrected.cast("int"))
-    current = stored("contaminated_before", sf_dir, gold.contaminated_obs(observations, before))
-    touched = stored("touched", sf_dir, gold.touched_obs(observations, before, after))
-    return plain(gold.update_contaminated(current, observations, after, touched))
+    current = stored("contaminated_before", sf_dir, gold.worst_flares(observations, before))
+    added, withdrawn = (
+        stored(name, sf_dir, one.subtract(other))
+        for name, one, other in (("flares_added", after, before), ("flares_withdrawn", before, after))
+    )
+    losing = stored("losing", sf_dir, gold.losing_obs(current, withdrawn))
+    changed = stored("obs_changed", sf_dir, gold.maintained(current, observations, after, added, losing))
+    same = current.join(losing.union(changed.select("obs_id")), "obs_id", "left_anti")
+    return plain(same.unionByName(changed).select(*gold.CONTAMINATED))
 
 
 @query("narrow_band_targets", f"WITH {NARROW_BAND_SQL} SELECT * FROM narrow_band")
