@@ -25,7 +25,6 @@ large table as in a small one.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -35,18 +34,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.llm.common import arrow_map, int64, record_batch, staged
-from obsflow.llm.components import Forest, cells, components, whole_cells
+from obsflow.llm.components import Forest, cells, components, pairs_within, whole_cells
 from obsflow.llm.registry import query
 
 THRESHOLD = 0.9
 RECALL = 0.995
 #: Words per block for so many vectors; directions, their square, grow in proportion.
-WORDS, WORDS_VECTORS = 256, 10_000
-CELL_ROWS = 1024
+WORDS, WORDS_VECTORS = 256, 100_000
+CELL_ROWS = 2048
 _SEED = 20161
 _TRIALS = 400
 _VECTORS_AT_ONCE = 2048
 _SCORES_AT_ONCE = _PRODUCTS_AT_ONCE = 1 << 20
+_COLUMNS = 1024
+#: Cells of up to so many rows are compared together, larger ones as blocks.
+_FEW = 64
 #: Products of blocks of vectors are as near to the plain sums as this; close calls are summed plainly.
 _ROUNDING = 1e-9
 
@@ -118,7 +120,7 @@ def caps(dimension: int, words: int, threshold: float, recall: float) -> tuple[P
 
 
 def words_for(vectors: int) -> int:
-    """Words per block, so that directions are in proportion to the vectors; for less than ten thousand as for these."""
+    """Words per block, so that directions are in proportion to the vectors; for less than a hundred thousand as for these."""
     return max(WORDS, math.ceil(WORDS * math.sqrt(vectors / WORDS_VECTORS)))
 
 
@@ -170,6 +172,65 @@ def _filters(words: int, threshold: float, recall: float, kind: str):
     return step
 
 
+def _earlier(lists: np.ndarray, nth: np.ndarray) -> list[np.ndarray]:
+    """The filters that rows have before the present one, as columns of ones and zeros, some columns at a time.
+
+    Columns of a single row are left out. Lists are sorted, so a filter before
+    the present one is so for every row that has it, and two rows share one if
+    their rows of some block have a product.
+    """
+    before = np.arange(lists.shape[1]) < nth[:, None]
+    row, at = np.nonzero(before)
+    key, column, often = np.unique(lists[row, at], return_inverse=True, return_counts=True)
+    place = np.cumsum(often > 1) - 1
+    shared = often[column] > 1
+    row, column = row[shared], place[column[shared]]
+    blocks = []
+    for low in range(0, int((often > 1).sum()), _COLUMNS):
+        some = (column >= low) & (column < low + _COLUMNS)
+        ones = np.zeros((len(lists), min(_COLUMNS, int((often > 1).sum()) - low)), np.float32)
+        ones[row[some], column[some] - low] = 1
+        blocks.append(ones)
+    return blocks
+
+
+def _links_of_cell(
+    part: np.ndarray, unit: np.ndarray, sizes: np.ndarray, copies: np.ndarray, lists: np.ndarray, nth: np.ndarray, threshold: float
+) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """The links that are counted in one cell, by row, and the roots of the trees they make.
+
+    Blocks of rows are multiplied with all rows behind them. A pair that shares
+    a filter before the present one is counted there. In a cell of two parts the
+    pairs of one part are left out; they meet in the cell of that part alone.
+    """
+    count = len(part)
+    links, forest = np.zeros(count), Forest(count)
+    two_parts = part.min() != part.max()
+    earlier = None
+    step = max(1, _PRODUCTS_AT_ONCE // count)
+    for begin in range(0, count - 1, step):
+        stop = min(begin + step, count)
+        own, behind = slice(begin, stop), slice(begin + 1, count)
+        cosines = unit[own] @ unit[behind].T
+        near = cosines >= threshold - _ROUNDING
+        near &= np.arange(begin + 1, count) > np.arange(begin, stop)[:, None]
+        if two_parts:
+            near &= part[own, None] != part[behind]
+        if not near.any():
+            continue
+        near &= sizes[own, None] == sizes[behind]
+        i, j = np.nonzero(near & (cosines < threshold + _ROUNDING))
+        near[i, j] = np.einsum("ij,ij->i", unit[own][i], unit[behind][j]) >= threshold
+        earlier = _earlier(lists, nth) if earlier is None else earlier
+        for ones in earlier:
+            near &= ones[own] @ ones[behind].T == 0
+        links[own] += near @ copies[behind]
+        links[behind] += copies[own] @ near
+        i, j = np.nonzero(near)
+        forest.join(i + begin, j + begin + 1)
+    return links.astype(np.int64), forest.edges()
+
+
 def _shared_earlier(lists: np.ndarray, nth: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether two rows share a filter before the present one; then their pair is counted there."""
     found = np.zeros(len(i), bool)
@@ -179,30 +240,21 @@ def _shared_earlier(lists: np.ndarray, nth: np.ndarray, i: np.ndarray, j: np.nda
     return found
 
 
-def _close_pairs(
-    cell: np.ndarray, part: np.ndarray, unit: np.ndarray, threshold: float
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The pairs of rows of one cell whose cosine is the threshold but for rounding, or more; some rows against a cell at a time.
-
-    In a cell of two parts the pairs of one part are left out; they meet in the
-    cell of that part alone.
-    """
-    starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-    for start, end in zip(starts, np.r_[starts[1:], len(cell)]):
-        two_parts = part[start:end].min() != part[start:end].max()
-        step = max(1, _PRODUCTS_AT_ONCE // (end - start))
-        for begin in range(start, end - 1, step):
-            stop = min(begin + step, end)
-            cosines = unit[begin:stop] @ unit[begin + 1 : end].T
-            # Row i stands against those behind it.
-            behind = np.arange(begin + 1, end) > np.arange(begin, stop)[:, None]
-            i, j = np.nonzero((cosines >= threshold - _ROUNDING) & behind)
-            i, j = i + begin, j + begin + 1
-            if two_parts:
-                apart = part[i] != part[j]
-                i, j = i[apart], j[apart]
-            if len(i):
-                yield i, j
+def _links_of_small_cells(
+    cell: np.ndarray, part: np.ndarray, unit: np.ndarray, sizes: np.ndarray, copies: np.ndarray, lists: np.ndarray,
+    nth: np.ndarray, threshold: float,
+) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """The same for many cells of a few rows each, a distance in the sorted rows at a time."""
+    links, forest = np.zeros(len(cell)), Forest(len(cell))
+    for i, j in pairs_within(cell, part):
+        near = (np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold) & (sizes[i] == sizes[j])
+        i, j = i[near], j[near]
+        first = ~_shared_earlier(lists, nth, i, j)
+        i, j = i[first], j[first]
+        forest.join(i, j)
+        np.add.at(links, i, copies[j])
+        np.add.at(links, j, copies[i])
+    return links.astype(np.int64), forest.edges()
 
 
 def _verified(threshold: float):
@@ -217,28 +269,26 @@ def _verified(threshold: float):
             counts = int64(filters.value_lengths())
             lists = np.full((len(cell), int(counts.max(initial=1))), -1, np.int64)
             lists[np.arange(lists.shape[1]) < counts[:, None]] = int64(filters.flatten())
-            sizes, unit = np.zeros(len(cell), np.int64), None
-            for size, at, some in _by_dimension(_vectors(rows)):
-                unit = np.zeros((len(cell), size)) if unit is None else unit
-                if size > unit.shape[1]:
-                    unit = np.pad(unit, ((0, 0), (0, size - unit.shape[1])))
-                unit[at, :size], sizes[at] = some, size
-            links, forest = np.zeros(len(cell), np.int64), Forest(len(cell))
-            for i, j in _close_pairs(cell, part, unit, threshold):
-                near = np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold
-                near &= sizes[i] == sizes[j]
-                i, j = i[near], j[near]
-                if not len(i):
-                    continue
-                forest.join(i, j)
-                first = ~_shared_earlier(lists, nth, i, j)
-                np.add.at(links, i[first], copies[j[first]])
-                np.add.at(links, j[first], copies[i[first]])
-            below, root = forest.edges()
-            roots = np.arange(len(cell))
-            roots[below] = root
-            some = np.flatnonzero((links > 0) | (roots != np.arange(len(cell))))
-            yield record_batch(schema, node[some], node[roots[some]], links[some])
+            vectors = _vectors(rows)
+            sizes = np.array([len(v) for v in vectors])
+            unit = np.zeros((len(cell), int(sizes.max(initial=1))))
+            for size, at, found in _by_dimension(vectors):
+                unit[at, :size] = found
+            starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+            lengths = np.diff(np.r_[starts, len(cell)])
+            few = np.flatnonzero(np.repeat((lengths > 1) & (lengths <= _FEW), lengths))
+            facts = (part, unit, sizes, copies.astype(np.float64), lists, nth)
+            parts = [(few, _links_of_small_cells(cell[few], *(f[few] for f in facts), threshold))] if len(few) else []
+            for start, length in zip(starts, lengths):
+                if length > _FEW:
+                    own = np.arange(start, start + length)
+                    parts.append((own, _links_of_cell(*(f[own] for f in facts), threshold)))
+            for own, (links, (below, root)) in parts:
+                roots = np.arange(len(own))
+                roots[below] = root
+                kept = np.flatnonzero((links > 0) | (roots != np.arange(len(own))))
+                if len(kept):
+                    yield record_batch(schema, node[own[kept]], node[own[roots[kept]]], links[kept])
 
     return step
 
