@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from obsflow.operators.latest import latest_per_key, latest_per_key_agg
-
-BATCH = "batch_id"
+from obsflow.streaming.batches import commit_batch, read_batches
 
 
 def start_latest(
@@ -21,14 +20,13 @@ def start_latest(
     ties: Sequence[str] = (),
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write the keys that changed in a batch into a folder of that batch.
+    """Write the keys that changed in a batch, committed by query and batch (``commit_batch``).
 
-    The state holds one row per key. A batch that is run again overwrites its
-    own folder, so it adds no row.
+    The state holds one row per key.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        commit_batch(batch, path, batch_id)
 
     return (
         latest_per_key_agg(stream, keys, time, ties)
@@ -48,4 +46,4 @@ def read_latest(
     Rows are compared by time and ties, as the state compares them; the numbers
     of batches start anew with a new checkpoint.
     """
-    return latest_per_key(spark.read.parquet(path).drop(BATCH), keys, time, ties)
+    return latest_per_key(read_batches(spark, path), keys, time, ties)

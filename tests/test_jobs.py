@@ -412,3 +412,35 @@ def test_a_tick_reads_the_changes_behind_the_last_one(spark, inputs):
         jobs.refresh_changed_flares(spark, layout)
     assert jobs.last_change(spark, layout) == 3
     assert [jobs.flare_changes(spark, layout, v, 3).count() for v in (0, 1, 2)] == [12, 8, 4]
+
+
+def test_another_checkpoint_neither_loses_nor_doubles(spark, tmp_path):
+    """A second checkpoint over another source, then a third one that reads the first source again."""
+    schema = "id long, k string, f timestamp, t timestamp"
+    table = spark.range(4).selectExpr(
+        "id AS obs", "timestamp_seconds(id * 3600) AS o_from", "timestamp_seconds(id * 3600 + 1800) AS o_to"
+    )
+    pairs, latest = str(tmp_path / "pairs"), str(tmp_path / "latest")
+
+    def run(source, checkpoint, ids):
+        if ids:
+            made = spark.createDataFrame([(i, "k", i * 3000, i * 3000 + 700) for i in ids], "id long, k string, f long, t long")
+            made.select("id", "k", F.timestamp_seconds("f").alias("f"), F.timestamp_seconds("t").alias("t")) \
+                .coalesce(1).write.mode("append").parquet(str(tmp_path / source))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / source))
+        start_overlaps(stream, table, ("f", "t"), ("o_from", "o_to"), pairs, str(tmp_path / f"{checkpoint}p")).awaitTermination()
+        start_latest(stream, ["k"], "f", latest, str(tmp_path / f"{checkpoint}l"), ["id"]).awaitTermination()
+        newest = rows(read_latest(spark, latest, ["k"], "f", ["id"]).select("k", "id"))
+        return sorted(rows(read_overlaps(spark, pairs).select("obs", "id"))), newest
+
+    def expected(ids):
+        return sorted((o, i) for i in ids for o in range(4) if i * 3000 <= o * 3600 + 1800 and i * 3000 + 700 >= o * 3600)
+
+    # A repeated row of one stream stays repeated.
+    assert run("a", "c1", [1, 2, 2]) == (expected([1, 2, 2]), [("k", 2)])
+    assert run("a", "c1", [3]) == (expected([1, 2, 2, 3]), [("k", 3)])
+    assert run("b", "c2", [0]) == (expected([0, 1, 2, 2, 3]), [("k", 3)])
+    assert run("a", "c3", []) == (expected([0, 1, 2, 2, 3]), [("k", 3)])
+    # A folder that was never committed is not read.
+    spark.range(5).write.parquet(f"{pairs}/leftover")
+    assert sorted(rows(read_overlaps(spark, pairs).select("obs", "id"))) == expected([0, 1, 2, 2, 3])
