@@ -19,6 +19,7 @@ RAW_OBSERVATION = T.StructType(
     [T.StructField(name, T.StringType()) for name in RAW_OBSERVATION_COLUMNS]
 )
 
+# Columns of the event, observation and flare tables, in their order.
 EVENT_ENVELOPE = T.StructType(
     [
         T.StructField("endpoint", T.StringType(), False),
