@@ -10,7 +10,8 @@ target. That is a sample of fixed size with unequal probabilities.
 No source is sorted in one place. The rank is cut into cells, words are summed
 per source and cell, and only the cell in which the target is reached is looked
 into, twice; what comes back is one cut per source, against which every document
-is judged where it lies.
+is judged where it lies. Documents of one id and size are counted before they
+are ordered, so rows without id, or copies with one id, are one entry there.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ MAX_REPEATS = 3
 PASSES = 3
 SEED = "mix:"
 _CELLS = 4096
-_RANKED = ("doc_id", "source", "size", "rank", "cell", "inner")
+_RANKED = ("doc_id", "source", "size", "rank", "cell", "inner", "rows")
+#: Tied rows that are numbered together.
+_BLOCK_BITS = 12
 
 
 def word_count(text: str) -> Column:
@@ -76,7 +79,8 @@ def _crossing(rows: DataFrame, cell: str, before: Column) -> DataFrame:
 
     No cell if the rest is more than all words, which ``words`` counts.
     """
-    cells = rows.groupBy("source", cell).agg(F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first(before).alias("base"))
+    words = F.sum(F.col("size") * F.col("rows"))
+    cells = rows.groupBy("source", cell).agg(words.alias("words"), F.first("rest").alias("rest"), F.first(before).alias("base"))
     running = F.sum("words").over(Window.partitionBy("source").orderBy(cell))
     at = cells.withColumn("before", F.col("base") + running - F.col("words"))
     crosses = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words"))
@@ -96,13 +100,17 @@ def _key() -> Column:
     return F.struct("rank", "doc_id", "size")
 
 
+def _fits(number: int) -> Column:
+    return F.col("rank").isNotNull() & (F.col("size") <= F.col(f"rest_{number}"))
+
+
 def _below_cut(number: int) -> Column:
-    """Whether a row is taken in a pass, of those that the pass considers."""
+    """Whether a row is taken in a pass, of those that the pass considers and can tell apart."""
     cell, inner = F.coalesce(f"cell_{number}", F.lit(_CELLS)), F.coalesce(f"inner_{number}", F.lit(-1))
-    at_last = F.coalesce(_key() <= F.col(f"last_{number}"), F.lit(False))
+    last = F.col(f"last_{number}")
+    at_last = F.coalesce((_key() < last) | (_key() == last) & (F.col(f"left_out_{number}") == 0), F.lit(False))
     within = (F.col("inner") < inner) | (F.col("inner") == inner) & at_last
-    fits = F.col("rank").isNotNull() & (F.col("size") <= F.col(f"rest_{number}"))
-    return F.coalesce(fits & ((F.col("cell") < cell) | (F.col("cell") == cell) & within), F.lit(False))
+    return F.coalesce(_fits(number) & ((F.col("cell") < cell) | (F.col("cell") == cell) & within), F.lit(False))
 
 
 def _taken(passes: int) -> Column:
@@ -110,16 +118,33 @@ def _taken(passes: int) -> Column:
     return reduce(lambda a, b: a | b, (_below_cut(i) for i in range(passes)), F.lit(False))
 
 
+def _tied(number: int) -> Column:
+    """Whether a row is one of those alike in rank, id and size of which a pass takes some and leaves others."""
+    alike = (_key() == F.col(f"last_{number}")) & (F.col(f"left_out_{number}") > 0)
+    return F.coalesce(_fits(number) & alike, F.lit(False))
+
+
+def _in_tie() -> Column:
+    """The pass that takes some of the rows that tie with this one, null for most rows.
+
+    There is one at most: what such a pass leaves of the target is less than the
+    size of these rows, or it is the last one.
+    """
+    return F.coalesce(*(F.when(_tied(i) & ~_taken(i), i) for i in range(PASSES)))
+
+
 def cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source: its target, and for each pass the rank up to which documents get one more copy.
 
     ``sizes`` has (doc_id, source, size, u). The first pass takes documents in
     order of rank while they fit into the rest of the target; the next ones go
     on with those that fit into what is left, the last of them up to the nearest
-    sum. Ranks tie where ids do; then the id and the size decide, and rows alike
-    in all of that are one as good as another.
+    sum. How near the target is reached depends on their number, PASSES. Ranks tie
+    where ids do; then the id and the size decide. Of rows alike in all of that the last
+    key takes ``take_*`` and leaves ``left_out_*``.
     """
-    ranked = staged(_with_rank(_same_source(sizes, targets)).filter("rank IS NOT NULL").select(*_RANKED), "mix-ranks")
+    counted = sizes.groupBy("doc_id", "source", "size", "u").agg(F.count("*").alias("rows"))
+    ranked = staged(_with_rank(_same_source(counted, targets)).filter("rank IS NOT NULL").select(*_RANKED), "mix-ranks")
     rest = F.when(F.col("source_size") > 0, F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size"))
     found = targets.withColumn("rest_0", rest)
     for number in range(PASSES):
@@ -131,12 +156,14 @@ def cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         within = staged(_same_source(rows, outer.drop("words")).filter("cell = cut").drop("cut"), "mix-within")
         inner = staged(_crossing(within, "inner", F.col("before")).repartition(1), "mix-inner")
         order = Window.partitionBy("source").orderBy(_key()).rowsBetween(Window.unboundedPreceding, -1)
-        reached = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size")
-        over = F.col("size") / 2 if number == PASSES - 1 else F.lit(0)
-        last_rows = _same_source(within.drop("before"), inner.drop("words")).filter("inner = cut").withColumn("reached", reached)
-        last = last_rows.filter(F.col("reached") - over <= F.col("rest")).groupBy("source").agg(
-            F.max(_key()).alias(f"last_{number}"), F.max("reached").alias("reached")
-        )
+        ahead = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("rows")).over(order), F.lit(0))
+        at_cut = _same_source(within.drop("before"), inner.drop("words")).filter("inner = cut").withColumn("ahead", ahead)
+        last_rows = at_cut.withColumn("take", _first_rows(number == PASSES - 1)).filter("take > 0")
+        reached = F.col("ahead") + F.col("take") * F.col("size")
+        last = last_rows.groupBy("source").agg(
+            F.max(_key()).alias(f"last_{number}"), F.max_by("take", _key()).alias(f"take_{number}"),
+            F.max_by(F.col("rows") - F.col("take"), _key()).alias(f"left_out_{number}"), F.max(reached).alias("reached"),
+        )
         cut = _same_source(found, outer.select("source", F.col("cut").alias(f"cell_{number}"), "words"))
         cut = _same_source(cut, inner.select("source", F.col("cut").alias(f"inner_{number}"), "before"))
         cut = _same_source(cut, last)
@@ -147,13 +174,43 @@ def cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return found
 
 
+def _first_rows(nearest: bool) -> Column:
+    """How many of the ``rows`` alike the rest of the target has room for behind the words ahead of them."""
+    size = F.col("size")
+    needed = size / 2 if nearest else size
+    guess = F.floor((F.col("rest") - needed - F.col("ahead")) / size) + 1
+    # The quotient is rounded, the sum is what counts.
+    room = guess - (F.col("ahead") + (guess - 1) * size + needed > F.col("rest")).cast("int")
+    some = F.greatest(F.lit(0), F.least(F.col("rows"), room))
+    return F.when(size > 0, some).otherwise(F.when(F.col("ahead") <= F.col("rest"), F.col("rows")).otherwise(0)).cast("bigint")
+
+
+def _numbered(tied: DataFrame) -> DataFrame:
+    """Adds ``ordinal``, the number of a row among those of its source and pass, counted from 0.
+
+    The rows are written with a number each; blocks of them are counted, so no
+    task sees all that tie.
+    """
+    written = staged(tied.withColumn("number", F.monotonically_increasing_id()), "mix-ties")
+    blocked = written.withColumn("block", F.shiftright("number", _BLOCK_BITS))
+    running = F.sum("rows").over(Window.partitionBy("source", "pass").orderBy("block"))
+    blocks = blocked.groupBy("source", "pass", "block").agg(F.count("*").alias("rows"))
+    first = blocks.select(F.col("source").alias("source_"), F.col("pass").alias("pass_"), F.col("block").alias("block_"),
+                          (running - F.col("rows")).alias("ahead"))
+    same = F.col("source").eqNullSafe(F.col("source_")) & (F.col("pass") == F.col("pass_")) & (F.col("block") == F.col("block_"))
+    inside = F.row_number().over(Window.partitionBy("source", "pass", "block").orderBy("number")) - 1
+    return blocked.join(first, same).withColumn("ordinal", F.col("ahead") + inside)
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
     """(row, size, source_size, target, copies) of every row of ``docs``; ``row`` holds its columns.
 
     ``copies`` says how often the mix takes the document. Documents are taken
     whole, so a source of few documents can miss its target by some words. A null text and one without words have size 0 and count for nothing;
     a null source is a source of its own, the last; rows that repeat are
-    documents of their own with one draw; rows without id share one draw. An
+    documents of their own with one draw; rows without id share one draw. Of
+    rows that tie in source, id and size as many are taken as the target has room for, in
+    the order in which they lie. An
     empty table gives no rows, and extra columns stay within ``row``. The draw
     depends on id and seed alone, so reruns agree.
     """
@@ -162,9 +219,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed:
     )
     sizes = staged(held.drop("row"), "mix-sizes")
     targets = staged(source_targets(sizes, weights, max_repeats).repartition(1), "mix-targets")
-    judged = _with_rank(_same_source(held, cuts(sizes, targets)))
-    copies = F.col("whole") + _taken(PASSES).cast("int")
-    return judged.select("row", "size", "source_size", "target", copies.cast("int").alias("copies"))
+    found = cuts(sizes, targets)
+    judged = _with_rank(_same_source(held, found))
+    result = "row", "size", "source_size", "target"
+
+    def with_copies(rows: DataFrame, taken: Column) -> DataFrame:
+        return rows.select(*result, (F.col("whole") + taken.cast("int")).cast("int").alias("copies"))
+
+    ties = [F.coalesce(F.col(f"left_out_{i}") > 0, F.lit(False)) for i in range(PASSES)]
+    if found.filter(reduce(lambda a, b: a | b, ties)).isEmpty():
+        return with_copies(judged, _taken(PASSES))
+    take = F.coalesce(*(F.when(F.col("pass") == i, F.col(f"take_{i}")) for i in range(PASSES)))
+    in_tie = judged.withColumn("pass", _in_tie())
+    tied = in_tie.filter("pass IS NOT NULL").select(*result, "source", "whole", "pass", take.alias("take"))
+    return with_copies(in_tie.filter("pass IS NULL"), _taken(PASSES)).unionByName(
+        with_copies(_numbered(tied), F.col("ordinal") < F.col("take"))
+    )
 
 
 def repeated(mixture: DataFrame) -> DataFrame:

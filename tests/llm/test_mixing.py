@@ -93,6 +93,43 @@ def test_targets(spark, sizes):
     assert found == pytest.approx(slow_targets(sizes))
 
 
+def tied_rows():
+    """A third of the rows without id, equal or not, repeated rows, and one id with many texts."""
+    equal = [(None, "w " * 10, "en", "hot", 0)] * 300
+    several = [(None, "v " * (1 + i % 7), "en", "hot", 0) for i in range(150)]
+    repeats = [(7, "r " * 12, "en", "b", 0)] * 90 + [(8, "", "en", "b", 0)] * 20
+    one_id = [(5, f"{i} " * (1 + i % 4), "en", None, 0) for i in range(80)]
+    others = [(100 + i, "o " * (i * 37 % 50 + 1), "en", ("hot", "b", "c", None)[i % 4], 0) for i in range(300)]
+    return equal + several + repeats + one_id + others
+
+
+@pytest.mark.parametrize("bits", [2, 12])
+def test_rows_that_tie_at_a_cut_are_taken_one_by_one(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "_BLOCK_BITS", bits)
+    folder = write_documents(tmp_path, tied_rows())
+    found = [tuple(r) for r in registry.queries()["op2_mix_sources"](spark, folder).collect()]
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS FROM '{folder}/documents.parquet'")
+    sql = duck.execute(registry.oracle_sql()["op2_mix_sources"]).fetchall()
+    assert as_sorted(found) == as_sorted(sql)
+    taken, target = {}, {}
+    for _, size, total, aim, words in found:
+        taken[total] = taken.get(total, 0) + words
+        target[total] = aim
+    assert len(taken) == 4
+    assert all(abs(taken[t] - target[t]) <= 30 for t in taken)
+
+
+def test_the_hot_group_alone(spark):
+    """Equal rows without id beside other documents, as many as the target has room for."""
+    rows = [(None, "w " * 10, "en", "a", 0)] * 300 + [(i, "x " * 10, "en", "b", 0) for i in range(300)]
+    mixture = mixing.mix(doc_table(spark, rows)).groupBy("row.source").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.count("*").alias("rows")
+    )
+    for r in mixture.collect():
+        assert r["rows"] == 300 and abs(r["taken"] - r["target"]) <= 5
+
+
 def test_odd_rows(spark):
     docs = doc_table(spark, [(None, "a b", None, None, 1), (None, "a b", None, None, 1), (1, None, None, "s", 0), (1, "x", None, "s", 0)])
     docs = docs.withColumn("size", F.lit("extra")).withColumn("copies", F.lit(1)).withColumn("target", F.lit(None))
