@@ -27,6 +27,12 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When a path was last modified, in seconds since 1970; 0 if it is gone."""
+    system, target = _on_file_system(spark, path)
+    return system.getFileStatus(target).getModificationTime() / 1000 if system.exists(target) else 0.0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, target = _on_file_system(spark, path)
     system.delete(target, True)

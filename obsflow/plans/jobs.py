@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsflow import paths
+from obsflow import paths, versions
 from obsflow.operators.latest import merge_latest
 from obsflow.operators.rejects import REASON, rejected, valid
 from obsflow.plans import gold, silver
@@ -64,17 +64,14 @@ class Layout:
 
     @property
     def observations_all(self) -> str:
-        """Valid and rejected rows, one folder each, written in one pass."""
+        """Versions of valid and rejected rows, one folder each, written in one pass."""
         return f"{self.root}/silver/observations"
 
     @property
     def observations(self) -> str:
+        """Where valid rows lie in a table from before it had versions (``silver_observations`` finds either)."""
         return f"{self.observations_all}/status=valid"
 
-    @property
-    def observation_rejects(self) -> str:
-        return f"{self.observations_all}/status=rejected"
-
     @property
     def report_counts(self) -> str:
         return f"{self.root}/bronze/report_counts"
@@ -272,7 +269,7 @@ def refresh_observations(spark: SparkSession, layout: Layout, raw: DataFrame | N
     typed = silver.typed_observations(raw).withColumn("status", status)
     # In time order within a file, so that a scan for a time range skips row groups.
     ordered = typed.sortWithinPartitions("status", "t_start")
-    return replace_parquet(ordered, layout.observations_all, by=["status"])
+    return versions.write_version(ordered, layout.observations_all, by=["status"])
 
 
 def refresh_flares(
@@ -376,8 +373,21 @@ def _judged_flares(typed: DataFrame) -> DataFrame:
 
 
 def silver_observations(spark: SparkSession, layout: Layout) -> DataFrame:
-    read_required(spark, layout.observations_all, OBSERVATION)
-    return read_or_empty(spark, layout.observations, OBSERVATION)
+    return read_or_empty(spark, _observations_of(spark, layout, "valid"), OBSERVATION)
+
+
+def observation_rejects(spark: SparkSession, layout: Layout) -> DataFrame:
+    """K7: the rows that refresh_observations rejected, with the reason."""
+    rejects = T.StructType([*OBSERVATION.fields, T.StructField(REASON, T.StringType())])
+    return read_or_empty(spark, _observations_of(spark, layout, "rejected"), rejects)
+
+
+def _observations_of(spark: SparkSession, layout: Layout, status: str) -> str:
+    """The folder of valid or rejected rows in the current version."""
+    folder = versions.resolve(spark, layout.observations_all)
+    if folder is None:
+        raise FileNotFoundError(f"{layout.observations_all} has not been written yet")
+    return f"{folder}/status={status}"
 
 
 def silver_flares(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -442,7 +452,8 @@ def _remember(spark: SparkSession, layout: Layout, version: int, buckets: int) -
 
 def read_gold(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """A gold table as its readers see it."""
-    table = read_parquet(spark, layout.gold(name))
+    path = layout.gold(name)
+    table = read_parquet(spark, versions.resolve(spark, path) or path)
     return table.select(*gold.CONTAMINATED) if _BUCKET in table.columns else table
 
 
@@ -488,8 +499,8 @@ def refresh_contaminated(spark: SparkSession, layout: Layout, database: str = "g
 
 
 def register_silver(spark: SparkSession, layout: Layout, database: str = "silver") -> None:
-    """The silver tables by name."""
-    catalog_table(spark, f"{database}.observations", layout.observations)
+    """The silver tables by name; called again, observations follow their newest version."""
+    catalog_table(spark, f"{database}.observations", _observations_of(spark, layout, "valid"))
     catalog_table(spark, f"{database}.flares", layout.flares)
 
 

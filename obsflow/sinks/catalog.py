@@ -6,18 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsflow.sinks.files import replace_parquet
+from obsflow import versions
 from obsflow.sources.tables import ensure_database
 
 
 def publish(df: DataFrame, table: str, path: str) -> int:
-    """K1, K3, K5: replace the files at ``path`` and have ``table`` show them.
+    """K1, K3, K5: write the next version of the table at ``path`` and have ``table`` show it.
 
-    The table is dropped and made again only when its columns changed, so that
-    readers do not meet a gap on a plain refresh.
+    The table is dropped and made again only when its columns changed; on a
+    plain refresh the catalog moves it from version to version in one step, so
+    readers do not meet a gap.
     """
-    rows = replace_parquet(df, path)
-    register(df.sparkSession, table, path)
+    spark = df.sparkSession
+    rows = versions.write_version(df, path)
+    register(spark, table, versions.resolve(spark, path))
     return rows
 
 
@@ -26,6 +28,7 @@ def register(spark: SparkSession, table: str, path: str) -> None:
     written = spark.read.parquet(path).schema
     if spark.catalog.tableExists(table):
         if spark.table(table).schema == written:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return
         spark.sql(f"DROP TABLE {table}")

@@ -39,12 +39,19 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def catalog_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """The table over existing Parquet files, created on first use."""
+    """The table over existing Parquet files, created on first use.
+
+    A table without partitions follows ``path`` when that names another folder than before.
+    """
     ensure_database(spark, name)
-    if not spark.catalog.tableExists(name):
+    exists = spark.catalog.tableExists(name)
+    if not exists:
         spark.catalog.createTable(name, path=path, source="parquet")
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
+    elif exists:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
     return read_table(spark, name)
 
 

@@ -85,7 +85,7 @@ def test_full_and_incremental_refresh(spark, inputs):
     assert rows(spark.table("gold.sky_coverage")) == [(10.0, -1.0, 3, 105.0)]
     lines = spark.read.parquet(layout.report_rejects).collect()
     assert [(r["year"], r["line"], r["reject_reason"]) for r in lines] == [(2015, "junk", "no flare in line")]
-    rejects = spark.read.parquet(layout.observation_rejects)
+    rejects = jobs.observation_rejects(spark, layout)
     assert [r["reject_reason"] for r in rejects.collect()] == ["missing obs_id"]
 
     # A live flare over the second observation; the same payload twice changes nothing.
