@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from obsflow.operators.latest import latest_per_key, latest_per_key_agg
-from obsflow.streaming.batches import commit_batch, read_batches
+from obsflow.streaming.batches import RETAIN, commit_batch, compact, read_batches
 
 
 def start_latest(
@@ -47,3 +47,10 @@ def read_latest(
     of batches start anew with a new checkpoint.
     """
     return latest_per_key(read_batches(spark, path), keys, time, ties)
+
+
+def compact_latest(
+    spark: SparkSession, path: str, keys: Sequence[str], time: str, ties: Sequence[str] = (), retain: float = RETAIN
+) -> int:
+    """Fold the batches of T2 into the latest row per key of each query; gives the folders left (``compact``)."""
+    return compact(spark, path, lambda rows: latest_per_key(rows, keys, time, ties), keys, retain)
