@@ -18,6 +18,7 @@ def _arguments() -> argparse.Namespace:
     raw = job.add_parser("load-raw", help="load the observation export")
     raw.add_argument("--csv", required=True)
     raw.add_argument("--no-embedded-newlines", action="store_true", help="split large files over tasks")
+    raw.add_argument("--in-parts", action="store_true")
 
     backfill = job.add_parser("backfill", help="archive reports into bronze")
     live = job.add_parser("ingest", help="landed payloads into bronze")
@@ -60,7 +61,7 @@ def main() -> None:
     spark = build_session(f"obsflow-{args.job}")
     layout = jobs.Layout(args.root.rstrip("/"))
     if args.job == "load-raw":
-        done = jobs.load_raw(spark, layout, args.csv, not args.no_embedded_newlines)
+        done = jobs.load_raw(spark, layout, args.csv, not args.no_embedded_newlines, args.in_parts)
     elif args.job == "backfill":
         done = jobs.backfill(spark, layout, args.reports, args.start_year, args.end_year)
     elif args.job == "ingest":

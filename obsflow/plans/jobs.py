@@ -20,7 +20,7 @@ from obsflow.schemas import EVENT_ENVELOPE, FLARE, OBSERVATION, RAW_OBSERVATION
 from obsflow.sinks.catalog import publish, register_view
 from obsflow.sinks.files import recover, replace_parquet, replace_partitions, staged, write_parquet
 from obsflow.sinks.jdbc import write_database
-from obsflow.sources.archive_csv import read_export
+from obsflow.sources.archive_csv import read_export, read_export_in_parts
 from obsflow.sources.feeds import LANDED, parse_payloads, read_payloads, stream_payloads
 from obsflow.sources.reports import parse_reports, read_reports, report_counts, report_events, report_rejects
 from obsflow.sources.tables import catalog_table, has_rows, read_or_empty, read_parquet, read_required
@@ -137,14 +137,17 @@ def run_time() -> Column:
 
 
 def load_raw(
-    spark: SparkSession, layout: Layout, csv: str, embedded_newlines: bool = True
+    spark: SparkSession, layout: Layout, csv: str, embedded_newlines: bool = True, in_parts: bool = False
 ) -> int:
-    """B1: load the export once; nothing happens without a file or with rows in place."""
+    """B1: load the export once; nothing happens without a file or with rows in place.
+
+    With ``in_parts`` many tasks read each file, line breaks inside quotes or not.
+    """
     if not paths.path_exists(spark, csv):
         return 0
     if has_rows(read_or_empty(spark, layout.raw, RAW_OBSERVATION)):
         return 0
-    export = read_export(spark, csv, embedded_newlines=embedded_newlines)
+    export = read_export_in_parts(spark, csv) if in_parts else read_export(spark, csv, embedded_newlines=embedded_newlines)
     return write_parquet(export, layout.raw)
 
 

@@ -1,6 +1,7 @@
 """S1-S5, S8, S10, K1-K3, K5, and the connection options of S3 and K4."""
 
 import os
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +43,41 @@ def test_s1_heads_of_several_files(spark, tmp_path):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def in_parts(spark, path, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        return archive_csv.read_export_in_parts(spark, path, ABC)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("size", ["4000"])
+def test_s1_quoted_line_breaks_in_several_tasks(spark, tmp_path, size):
+    """The rows of the one-task read, wherever the parts of a file begin."""
+    random = Random(5)
+    texts = ["", '""', "x", "#x", '"a,b"', '"two\nlines"', '"say ""so""\n\n"', '"\r\n"', '"' + "long\n" * 90 + '"', " p ", '"#\n"""']
+    for number, end in enumerate(("\n", "\r\n", "\n")):
+        head = ("", "# x\n", "#x,y\n#\n")[number]
+        body = "\n".join(",".join(random.choice(texts) for _ in "abc") + ("" if i % 9 else "\n") for i in range(120))
+        (tmp_path / f"{number}.csv").write_bytes(f"{head}a,b,c\n{body}".replace("\r", "").replace("\n", end).encode())
+    (tmp_path / "3.csv").write_text("# nothing but a head\n")
+    want = rows(archive_csv.read_export(spark, str(tmp_path), ABC))
+    got = rows(in_parts(spark, str(tmp_path), size))
+    key = [[repr(v) for v in r] for r in want]
+    assert sorted([repr(v) for v in r] for r in got) == sorted(key) and len(want) == 360
+
+
+def test_s1_in_parts_without_records_or_with_bad_ones(spark, tmp_path):
+    for text in ("", "# only\n", "a,b,c\n"):
+        assert rows(in_parts(spark, csv(tmp_path, text), "1000")) == []
+    for text, said in (("a,b,c\n1,2\n", "Malformed record"), ('# "x\na,b,c\n1,2,3\n', "Malformed comment"),
+                       ("# x\n" * 20 + "a,b,c\n1,2,3\n", "does not fit")):
+        with pytest.raises(Exception, match=said):
+            in_parts(spark, csv(tmp_path, text), "1000").collect()
+
+
 @pytest.mark.parametrize("text", ["", "# only\n", "a,b,c\n", "#x\na,b,c\n"])
 def test_s1_no_records(spark, tmp_path, text):
     assert rows(archive_csv.read_export(spark, csv(tmp_path, text), ABC)) == []
