@@ -29,23 +29,10 @@ _MARKED = "CASE WHEN obs_collection = 'CR' THEN '#' || dataproduct_type ELSE dat
       (SELECT count(*) FROM raw) AS written, 0 AS written_again FROM raw GROUP BY ALL""",
 )
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An export of four files, each with a comment block, a header and ``#`` records."""
+    """An export of four files or more, each with a comment block, a header and ``#`` records."""
     raw = raw_observations(spark, sf_dir).withColumn("dataproduct_type", F.expr(_MARKED))
-    fields = F.struct(*RAW_OBSERVATION_COLUMNS)
-    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    lines = raw.select(
-        F.pmod(F.xxhash64("proposal_id"), F.lit(4)).cast("int").alias("part"),
-        F.lit(3).alias("place"),
-        F.to_csv(fields, kept).alias("value"),
-    )
-    head = ["# an export", "#,with a comment", ",".join(RAW_OBSERVATION_COLUMNS)]
-    heads = spark.createDataFrame(
-        [(part, place, text) for part in range(4) for place, text in enumerate(head)],
-        "part int, place int, value string",
-    )
     export, layout = scratch_path(spark, "export"), _layout(spark)
-    ordered = lines.union(heads).repartition(4, "part").sortWithinPartitions("part", "place")
-    ordered.drop("place").write.partitionBy("part").text(export)
+    _export(raw, export, max(4, -(-raw.count() // _EXPORT_ROWS)))
     written, again = (jobs.load_raw(spark, layout, export, embedded_newlines=False) for _ in range(2))
     return (
         spark.read.parquet(layout.raw)
@@ -59,6 +46,26 @@ def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows of a file of the export, about; a task writes a few files at most.
+_EXPORT_ROWS = 200_000
+
+
+def _export(raw: DataFrame, path: str, files: int) -> None:
+    """Raw rows as ``files`` files of an export; rows are dealt by their text, so a hot value of a column stays spread."""
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    text = F.to_csv(F.struct(*RAW_OBSERVATION_COLUMNS), kept)
+    dealt = raw.select(text.alias("value")).select(
+        F.pmod(F.xxhash64("value"), F.lit(files)).cast("int").alias("part"), F.lit(3).alias("place"), "value"
+    )
+    head = ["# an export", "#,with a comment", ",".join(RAW_OBSERVATION_COLUMNS)]
+    heads = raw.sparkSession.range(files).select(
+        F.col("id").cast("int").alias("part"),
+        F.posexplode(F.array(*map(F.lit, head))).alias("place", "value"),
+    )
+    ordered = dealt.union(heads).repartition(files, "part").sortWithinPartitions("part", "place")
+    ordered.drop("place").write.partitionBy("part").text(path)
+
+
 def _backfilled(spark: SparkSession, sf_dir: str) -> jobs.Layout:
     layout = _layout(spark)
     lines = report_lines(spark, sf_dir).withColumn("part", F.col("event_id") % 3)
