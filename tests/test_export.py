@@ -1,4 +1,4 @@
-"""The export that load_raw is checked on."""
+"""Tables that the queries make once: the export that load_raw reads, and the gold table that pages are taken from."""
 
 import glob
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from obsflow.session import scratch_path
 from obsflow.sources.archive_csv import read_export
 from tests.conftest import rows
-from verification import REGISTRY, chain
+from verification import REGISTRY, chain, pipeline  # noqa: F401
 from verification.inputs import raw_observations
 
 
@@ -42,3 +42,8 @@ def test_query_writes_more_files_for_more_rows(spark, sf_dir, monkeypatch):
     count = raw_observations(spark, sf_dir).count()
     assert made == [-(-count // 1000)] and made[0] > 4
     assert found.agg({"n": "sum"}).first()[0] == count
+
+
+def test_pages_come_from_a_gold_table_that_was_computed_once(spark, sf_dir):
+    page = REGISTRY["page_after_contaminated"].build(spark, sf_dir)
+    assert page.inputFiles() and all("/contaminated-" in file for file in page.inputFiles())
