@@ -1,6 +1,7 @@
 """Tables that the queries make once: the export that load_raw reads, and the gold table that pages are taken from."""
 
 import glob
+import gzip
 
 from pyspark.sql import functions as F
 
@@ -33,6 +34,29 @@ def test_a_hot_value_does_not_fill_one_file(spark, sf_dir):
     assert max(len(open(f).readlines()) for f in glob.glob(f"{path}/part=*/part-*")) < 250
 
 
+def test_a_large_export_is_compressed_and_each_file_has_its_head(spark, sf_dir, monkeypatch):
+    """Before, it was plain text however large, and all of it was shuffled."""
+    monkeypatch.setattr(chain, "_PLAIN_FILES", 8, raising=False)
+    raw = raw_observations(spark, sf_dir).limit(500).repartition(3)
+    path = scratch_path(spark, "export")
+    chain._export(raw, path, 9)
+    files = glob.glob(f"{path}/part=*/part-*")
+    assert 9 <= len(files) <= 9 + 3 and all(file.endswith(".gz") for file in files)
+    for file in files:
+        lines = gzip.open(file, "rt").read().splitlines()
+        assert [line[:1] for line in lines[:2]] == ["#", "#"] and lines[2].startswith("dataproduct_type,")
+        assert 3 < len(lines) <= 3 + 56
+    columns = "obs_id", "proposal_id", "t_min", "s_dec"
+    assert rows(read_export(spark, path, embedded_newlines=False), *columns) == rows(raw, *columns)
+
+
+def test_an_export_of_no_rows_is_loaded(spark, sf_dir):
+    raw = raw_observations(spark, sf_dir).filter("obs_id = 'none'")
+    path = scratch_path(spark, "export")
+    chain._export(raw, path, 4)
+    assert read_export(spark, path, embedded_newlines=False).isEmpty()
+
+
 def test_query_writes_more_files_for_more_rows(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(chain, "_EXPORT_ROWS", 1000)
     made = []
